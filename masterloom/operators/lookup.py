@@ -99,6 +99,10 @@ def lookup_join(
     values = {name: F.col(c) if isinstance(c, str) else c for name, c in columns.items()}
     left, right = (F.col(k) if isinstance(k, str) else k for k in on)
     reduced = one_row_per_key(dim, right, values, order_by)
+    if broadcast is None:
+        # The unreduced rows bound the reduced ones, and cost no shuffle to count.
+        whole = dim.select(right.alias("k"), *[c.alias(f"v{i}") for i, c in enumerate(values.values())])
+        broadcast = fits_broadcast(whole) or fits_broadcast(reduced)
     return attach(df, reduced, left, broadcast, salts)
 
 
@@ -120,13 +124,14 @@ def enrich_reference(
 ) -> DataFrame:
     """Add the columns of several reference tables, keyed by columns of ``df``.
 
-    Keys match by their trimmed, upper-case text.  An unmatched row gets nulls.
+    Keys match by their trimmed, upper-case text.  A blank key matches nothing; an
+    unmatched row gets nulls.
     """
     for column, ref in references.items():
         df = lookup_join(
             df,
             ref.df,
-            (_folded(column), _folded(ref.key)),
+            (_folded(column), F.nullif(_folded(ref.key), F.lit(""))),
             {c: c for c in ref.columns},
             ref.order_by,
             broadcast,
@@ -136,4 +141,4 @@ def enrich_reference(
 
 
 def _folded(column: str) -> Column:
-    return F.nullif(F.upper(F.trim(F.col(column).cast("string"))), F.lit(""))
+    return F.upper(F.trim(F.col(column).cast("string")))
