@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from masterloom.operators.schema import quoted
+
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
@@ -45,16 +48,24 @@ def one_row_per_key(
 
 
 def fits_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """Whether the table is small enough to broadcast, by its counted rows and bytes.
+    *tables: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> list[bool]:
+    """Whether each table is small enough to broadcast, by its counted rows and bytes.
 
-    One aggregation, one row back to the driver.
+    One job for all of them; one row per table comes back to the driver.
     """
-    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    bytes_per_row = sum(sizes[1:], sizes[0])
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_per_row).alias("b")).first()
-    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+
+    def size(number: int, df: DataFrame) -> DataFrame:
+        sizes = [F.coalesce(F.octet_length(F.col(quoted(c)).cast("string")), F.lit(0)) for c in df.columns]
+        return df.agg(
+            F.lit(number).alias("number"),
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(sum(sizes[1:], sizes[0])), F.lit(0)).alias("bytes"),
+        )
+
+    measured = reduce(DataFrame.unionAll, [size(i, df) for i, df in enumerate(tables)]).collect()
+    fits = {r["number"]: r["rows"] <= max_rows and r["bytes"] <= max_bytes for r in measured}
+    return [fits[i] for i in range(len(tables))]
 
 
 def attach(
@@ -72,10 +83,10 @@ def attach(
     of a skew is split by adaptive execution.
     """
     if broadcast is None:
-        broadcast = fits_broadcast(dim)
+        (broadcast,) = fits_broadcast(dim)
     if broadcast:
         return df.join(F.broadcast(dim), key == F.col("__key"), "left").drop("__key")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(salts)).cast("int")
     salted = df.withColumn("__salt", salt)
     copies = dim.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = (key == F.col("__key")) & (F.col("__salt") == F.col("__copy"))
@@ -102,7 +113,7 @@ def lookup_join(
     if broadcast is None:
         # The unreduced rows bound the reduced ones, and cost no shuffle to count.
         whole = dim.select(right.alias("k"), *[c.alias(f"v{i}") for i, c in enumerate(values.values())])
-        broadcast = fits_broadcast(whole) or fits_broadcast(reduced)
+        broadcast = fits_broadcast(whole)[0] or fits_broadcast(reduced)[0]
     return attach(df, reduced, left, broadcast, salts)
 
 
@@ -127,14 +138,19 @@ def enrich_reference(
     Keys match by their trimmed, upper-case text.  A blank key matches nothing; an
     unmatched row gets nulls.
     """
-    for column, ref in references.items():
+    if broadcast is None:
+        used = [ref.df.select(ref.key, *ref.columns) for ref in references.values()]
+        known = [fits or None for fits in fits_broadcast(*used)]
+    else:
+        known = [broadcast] * len(references)
+    for (column, ref), small in zip(references.items(), known):
         df = lookup_join(
             df,
             ref.df,
             (_folded(column), F.nullif(_folded(ref.key), F.lit(""))),
             {c: c for c in ref.columns},
             ref.order_by,
-            broadcast,
+            small,
             salts,
         )
     return df

@@ -59,16 +59,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     the target lacks is left out (``schema_drift`` reports both).
     """
     present = {name.lower(): name for name in df.columns}
-    return df.select(
-        [
-            (
-                F.col(_quoted(present[f.name.lower()])).cast(f.dataType)
-                if f.name.lower() in present
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def column(f: StructField) -> str:
+        source = present.get(f.name.lower())
+        value = "NULL" if source is None else quoted(source)
+        return f"CAST({value} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+
+    # Texts, not Column objects: a wide table takes one call per column to the JVM.
+    return df.selectExpr([column(f) for f in schema.fields])
 
 
 def schema_drift(df: DataFrame, schema: StructType) -> dict[str, list[str]]:
@@ -88,5 +86,6 @@ def merged_schema(schema: StructType, batch: StructType) -> StructType:
     return StructType(schema.fields + new)
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
+    """The name as an SQL identifier."""
     return "`" + name.replace("`", "``") + "`"

@@ -25,6 +25,7 @@ from masterloom.operators import (
     add_audit,
     apply_mapping,
     enrich_reference,
+    fits_broadcast,
     lookup_join,
     reject_blank_keys,
     sanitize_columns,
@@ -91,6 +92,10 @@ def silver_batch(
     ``brands`` may hold the whole brand history; the newest name of an id counts.
     All joins are left joins against one row per key, so each hotel stays one row.
     """
+    if broadcast is None:
+        sides = (brands.select("id", "name"), country_ref, brand_ref, dial_plan)
+        # Where one is too large as it stands, each join measures its reduced side.
+        broadcast = all(fits_broadcast(*sides)) or None
     named = lookup_join(
         hotels,
         brands,
