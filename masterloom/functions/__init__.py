@@ -3,8 +3,10 @@
 from masterloom.functions.codes import code_field, property_code, standardize_property_codes
 from masterloom.functions.phones import (
     concat_phone_parts,
+    dialled_number,
+    formatted_number,
     last_digits,
-    normalize_phone,
+    national_number,
     phone_part,
     strip_special,
 )
@@ -21,12 +23,14 @@ __all__ = [
     "blank_to_null",
     "code_field",
     "concat_phone_parts",
+    "dialled_number",
     "fill_blank",
+    "formatted_number",
     "full_address",
     "hhmm_time",
     "initial_flag",
     "last_digits",
-    "normalize_phone",
+    "national_number",
     "phone_part",
     "property_code",
     "reference_fallback",

@@ -9,7 +9,7 @@ from masterloom.operators.lookup import (
     one_row_per_key,
 )
 from masterloom.operators.mapping import apply_mapping
-from masterloom.operators.phones import standardize_phones
+from masterloom.operators.phones import normalize_phones, standardize_phones
 from masterloom.operators.schema import (
     add_audit,
     conform,
@@ -32,6 +32,7 @@ __all__ = [
     "key_profile",
     "lookup_join",
     "merged_schema",
+    "normalize_phones",
     "one_row_per_key",
     "reject_blank_keys",
     "sanitize_columns",

@@ -90,7 +90,8 @@ def attach(
     salted = df.withColumn("__salt", salt)
     copies = dim.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = (key == F.col("__key")) & (F.col("__salt") == F.col("__copy"))
-    return salted.join(copies, on, "left").drop("__key", "__salt", "__copy")
+    # Without the hint a compressed size could still talk the planner into a broadcast.
+    return salted.join(copies.hint("merge"), on, "left").drop("__key", "__salt", "__copy")
 
 
 def lookup_join(

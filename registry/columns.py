@@ -10,12 +10,11 @@ from masterloom.functions import (
     hhmm_time,
     initial_flag,
     last_digits,
-    normalize_phone,
     reference_fallback,
     standardize_property_codes,
     strip_special,
 )
-from masterloom.operators import standardize_phones
+from masterloom.operators import normalize_phones, standardize_phones
 from registry import query, table
 
 
@@ -145,8 +144,15 @@ def phone_normalize(spark, folder):
         F.lit(") "),
         F.lpad(key.cast("string"), 6, "2"),
     )
-    formatted = normalize_phone(phone, code, F.lit("0"), F.lit(7), F.lit(12))
-    return table(spark, folder, "customer").select("c_custkey", formatted.alias("formattedphone"))
+    raw = table(spark, folder, "customer").select(
+        "c_custkey",
+        phone.alias("phone"),
+        code.alias("country_code"),
+        F.lit("0").alias("trunk_prefix"),
+        F.lit(7).alias("min_len"),
+        F.lit(12).alias("max_len"),
+    )
+    return normalize_phones(raw, {"formattedphone": "phone"}).select("c_custkey", "formattedphone")
 
 
 # Forms of one number: own code with +, with 00, with nothing; trunk prefix; bare;

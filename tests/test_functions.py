@@ -1,7 +1,6 @@
 """Column standardisers on literal rows: nulls, blanks, overflow, unknown regions."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from masterloom.functions import (
     code_field,
@@ -11,12 +10,12 @@ from masterloom.functions import (
     hhmm_time,
     initial_flag,
     last_digits,
-    normalize_phone,
     property_code,
     reference_fallback,
     standardize_property_codes,
     strip_special,
 )
+from masterloom.operators import normalize_phones
 
 
 def column(spark, values, expression, schema="v string"):
@@ -95,34 +94,38 @@ def test_strip_special(spark):
 US, GB = ("1", "1", 10, 10), ("44", "0", 9, 10)
 
 
-@pytest.mark.parametrize(
-    "number, plan, want",
-    [
-        ("(617) 555-1234", US, "+16175551234"),
-        ("1 617 555 1234", US, "+16175551234"),
-        ("+1 617 555 1234", US, "+16175551234"),
-        ("001 617 555 1234", US, "+16175551234"),
-        ("020 7946 0000", GB, "+442079460000"),
-        ("+44 (0)20 7946 0000", GB, "+442079460000"),
-        ("0044 20 7946 0000", GB, "+442079460000"),
-        ("44 20 7946 0000", GB, "+442079460000"),
-        ("+49 30 123456", GB, "+4930123456"),
-        ("+49 30", GB, None),
-        ("+4930123456789012", GB, None),
-        ("555-1234", US, None),
-        ("61755512345", US, None),
-        ("", US, None),
-        ("ext.", US, None),
-        (None, US, None),
-        ("(617) 555-1234", (None, None, None, None), None),
-        ("+49 30 123456", (None, None, None, None), None),
-        ("617 555 1234", ("1", None, 10, 10), "+16175551234"),
-    ],
-)
-def test_normalize_phone(spark, number, plan, want):
-    expression = normalize_phone("v", "code", "trunk", "low", "high")
-    schema = "v string, code string, trunk string, low int, high int"
-    assert column(spark, [(number, *plan)], expression, schema) == [want]
+PHONES = [
+    ("(617) 555-1234", US, "+16175551234"),
+    ("1 617 555 1234", US, "+16175551234"),
+    ("+1 617 555 1234", US, "+16175551234"),
+    ("001 617 555 1234", US, "+16175551234"),
+    ("020 7946 0000", GB, "+442079460000"),
+    ("+44 (0)20 7946 0000", GB, "+442079460000"),
+    ("0044 20 7946 0000", GB, "+442079460000"),
+    ("44 20 7946 0000", GB, "+442079460000"),
+    ("+49 30 123456", GB, "+4930123456"),
+    ("+49 30", GB, None),
+    ("+4930123456789012", GB, None),
+    ("555-1234", US, None),
+    ("61755512345", US, None),
+    ("", US, None),
+    ("ext.", US, None),
+    (None, US, None),
+    ("(617) 555-1234", (None, None, None, None), None),
+    ("+49 30 123456", (None, None, None, None), None),
+    ("617 555 1234", ("1", None, 10, 10), "+16175551234"),
+]
+
+
+def test_normalize_phones(spark):
+    data = [(i, number, *plan) for i, (number, plan, _) in enumerate(PHONES)]
+    df = spark.createDataFrame(
+        data, "i int, v string, country_code string, trunk_prefix string, min_len int, max_len int"
+    )
+    done = normalize_phones(df, {"out": "v"})
+    assert done.columns == [*df.columns, "out"]
+    got = [r["out"] for r in done.orderBy("i").collect()]
+    assert got == [want for _, _, want in PHONES]
 
 
 def test_last_digits(spark):
