@@ -5,6 +5,7 @@ from masterloom.operators.lookup import (
     attach,
     enrich_reference,
     fits_broadcast,
+    frequent_keys,
     lookup_join,
     one_row_per_key,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "conform",
     "enrich_reference",
     "fits_broadcast",
+    "frequent_keys",
     "key_profile",
     "lookup_join",
     "merged_schema",

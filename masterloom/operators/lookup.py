@@ -1,9 +1,8 @@
 """Lookup joins that never change the row count of the table they widen.
 
 The lookup side is reduced to one row per key before the join.  It is broadcast
-only after its reduced size was measured; a larger one is joined by a shuffle in
-which every key is spread over several salts, so that no key (nor the null key)
-lands in one task.
+only after its size was measured; a larger one is joined by a shuffle in which the
+frequent keys, and the rows without a key, are spread over all partitions.
 """
 
 from __future__ import annotations
@@ -19,7 +18,8 @@ from masterloom.operators.schema import quoted
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
+FREQUENT_KEYS = 256
+TRACKED_KEYS = 4096
 
 
 def one_row_per_key(
@@ -68,27 +68,57 @@ def fits_broadcast(
     return [fits[i] for i in range(len(tables))]
 
 
+def frequent_keys(df: DataFrame, key: Column, most: int = FREQUENT_KEYS) -> list:
+    """The ``most`` most frequent keys, null apart; every key with a large share is in it.
+
+    Counted in sketches of bounded size, merged per group of input partitions and
+    then summed up.  The counts are estimates: they decide how rows are spread,
+    never which rows are joined.
+    """
+    top = F.expr(f"approx_top_k(key, {most}, {TRACKED_KEYS})")
+    return [
+        row["key"]
+        for row in df.select(key.alias("key"), (F.spark_partition_id() % 256).alias("part"))
+        .filter(F.col("key").isNotNull())
+        .groupBy("part")
+        .agg(F.explode(top).alias("top"))
+        .groupBy(F.col("top.item").alias("key"))
+        .agg(F.sum("top.count").alias("n"))
+        .orderBy(F.desc("n"), "key")
+        .limit(most)
+        .collect()
+    ]
+
+
 def attach(
     df: DataFrame,
     dim: DataFrame,
     key: Column,
     broadcast: bool | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join a table of one row per ``__key``; the key column is dropped.
 
-    ``broadcast=None`` measures the lookup side.  Without a broadcast the rows are
-    spread over ``salts`` by a hash of the whole row, and the lookup side is
-    repeated once per salt.  Exact copies of one row share a salt; what they leave
-    of a skew is split by adaptive execution.
+    ``broadcast=None`` measures the lookup side.  Without a broadcast, rows with a
+    frequent key or with none get one of ``salts`` (as many as there are shuffle
+    partitions) by a hash of the whole row, and the lookup rows of the frequent
+    keys are repeated once per salt.  Exact copies of one row share a salt; what
+    they leave of a skew is split by adaptive execution.
     """
     if broadcast is None:
         (broadcast,) = fits_broadcast(dim)
     if broadcast:
         return df.join(F.broadcast(dim), key == F.col("__key"), "left").drop("__key")
-    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(salts)).cast("int")
-    salted = df.withColumn("__salt", salt)
-    copies = dim.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequent = frequent_keys(df, key)
+    spread = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(salts)).cast("int")
+    salted = df.withColumn(
+        "__salt", F.when(key.isNull() | key.isin(frequent), spread).otherwise(F.lit(0))
+    )
+    numbers = F.when(
+        F.col("__key").isin(frequent), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    copies = dim.withColumn("__copy", F.explode(numbers))
     on = (key == F.col("__key")) & (F.col("__salt") == F.col("__copy"))
     # Without the hint a compressed size could still talk the planner into a broadcast.
     return salted.join(copies.hint("merge"), on, "left").drop("__key", "__salt", "__copy")
@@ -101,7 +131,7 @@ def lookup_join(
     columns: Mapping[str, str | Column],
     order_by: Sequence[str | Column],
     broadcast: bool | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left equi-join that adds ``columns`` from the newest row of each key.
 
@@ -132,7 +162,7 @@ def enrich_reference(
     df: DataFrame,
     references: Mapping[str, Reference],
     broadcast: bool | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add the columns of several reference tables, keyed by columns of ``df``.
 

@@ -78,21 +78,34 @@ def upsert_only_changed(spark, folder):
 
 @query(
     """
-    SELECT l_orderkey, l_linenumber, max(l_quantity) AS quantity, max(l_tax) AS tax
-    FROM lineitem GROUP BY l_orderkey, l_linenumber
+    WITH tgt AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey % 2 = 0),
+    src AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS quantity, max(l_tax) AS tax
+            FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, coalesce(src.quantity, 0) AS quantity,
+           coalesce(src.tax, 0) AS tax,
+           CASE WHEN tgt.l_orderkey IS NOT NULL THEN 'seed' END AS owner
+    FROM tgt FULL OUTER JOIN src USING (l_orderkey, l_linenumber)
     """
 )
 def upsert_two_keys(spark, folder):
-    """A composite key: even suppliers' lines, completed by a batch with all lines' totals."""
+    """A composite key: lines of even suppliers, and a batch of every third part's lines."""
     lines = table(spark, folder, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    totals = lines.groupBy(*keys).agg(
-        F.max("l_quantity").alias("quantity"), F.max("l_tax").alias("tax")
+    totals = (
+        lines.filter("l_partkey % 3 = 0")
+        .groupBy(*keys)
+        .agg(F.max("l_quantity").alias("quantity"), F.max("l_tax").alias("tax"))
     )
     target = (
         lines.filter("l_suppkey % 2 = 0")
-        .groupBy(*keys)
-        .agg(F.lit(0.0).alias("quantity"), F.lit(0.0).alias("tax"))
+        .select(*keys)
+        .distinct()
+        .select(
+            *keys,
+            F.lit(0.0).alias("quantity"),
+            F.lit(0.0).alias("tax"),
+            F.lit("seed").alias("owner"),
+        )
     )
     return upsert(target, totals, keys)
 

@@ -14,6 +14,7 @@ from masterloom.operators import (
     conform,
     enrich_reference,
     fits_broadcast,
+    frequent_keys,
     key_profile,
     lookup_join,
     merged_schema,
@@ -147,12 +148,27 @@ def test_a_large_lookup_side_is_not_broadcast(spark, hotels, monkeypatch):
     assert rows(out, "hotel", "brandname")[0] == ("h1", "New")
 
 
-def test_salts_spread_one_key(spark):
-    df = spark.range(2000).select("id", F.lit("hot").alias("k"))
-    dim = spark.createDataFrame([("hot", 1)], "k string, v int")
-    out = lookup_join(df, dim, ("k", "k"), {"v": "v"}, ["v"], broadcast=False, salts=16)
-    assert out.filter("v = 1").count() == 2000
-    assert "pmod(xxhash64(" in out._jdf.queryExecution().optimizedPlan().toString()
+def test_frequent_keys(spark):
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    df = spark.range(0, 9000, numPartitions=7).select(key.alias("k"))
+    assert frequent_keys(df, F.col("k"), 1) == ["hot"]
+    assert len(frequent_keys(df, F.col("k"))) == 256
+    assert frequent_keys(df.limit(0), F.col("k")) == []
+
+
+def test_one_key_is_spread_over_all_partitions(spark):
+    hot = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 10 != 1, F.concat(F.lit("k"), F.col("id").cast("string")))
+    df = spark.range(4000).select("id", hot.alias("k"))
+    dim = spark.createDataFrame([("hot", 1), ("k3", 3)], "k string, v int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = lookup_join(df, dim, ("k", "k"), {"v": "v"}, ["v"], broadcast=False, salts=64)
+        sizes = out.filter("v = 1").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 2000
+        assert len(sizes) == 4 and max(r["count"] for r in sizes) < 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert out.count() == 4000 and out.filter("v = 3").count() == 1
 
 
 def test_standardize_phones(spark):
