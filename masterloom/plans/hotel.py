@@ -42,11 +42,12 @@ from masterloom.sources import (
     merge_table,
     newest_file,
     read_drop,
-    stage,
+    staged,
     watermark_slice,
 )
 
 TIMESTAMP = "lastmodifieddate"
+SILVER_AUDIT = ("createdby", "lastupdatedby", "createdtimestamp", "lastupdatedtimestamp")
 
 
 @dataclass(frozen=True)
@@ -151,7 +152,9 @@ class HotelRun:
     """One run over a hotel drop and a brand drop.
 
     The steps may be called one by one or through ``run``.  Each replaces what an
-    earlier attempt on the same files left, so a failed run is simply run again.
+    earlier attempt on the same files left, so a failed run is simply run again;
+    with ``only_if_changed`` under the same context, so that the rows the first
+    attempt stamped count as changed.
     """
 
     spark: SparkSession
@@ -193,16 +196,18 @@ class HotelRun:
             self.dial_plan,
             self.code_mode,
         )
-        staged = stage(batch, "silver-batch")
-        good, rejects = reject_blank_keys(staged, ["Code"])
+        with staged(batch, "silver-batch") as rows:
+            self._merge_silver(rows, summary)
+
+    def _merge_silver(self, rows: DataFrame, summary: RunSummary) -> None:
+        good, rejects = reject_blank_keys(rows, ["Code"])
         both = {"lastupdatedby": self.ctx.user_col(), "lastupdatedtimestamp": self.ctx.ts_col()}
         new = {"createdby": self.ctx.user_col(), "createdtimestamp": self.ctx.ts_col()}
-        audited = good.withColumns({**new, **both})
-        columns = [*good.columns, "createdby", "lastupdatedby", "createdtimestamp", "lastupdatedtimestamp"]
+        audited = good.withColumns({**new, **both}).select(*good.columns, *SILVER_AUDIT)
         ensure_table(
             self.spark,
             self.tables.silver,
-            audited.select(*columns).schema,
+            audited.schema,
             bucket_by=["Code"],
             buckets=self.tables.buckets,
         )
@@ -230,14 +235,10 @@ class HotelRun:
         by, at = self.ctx.user_col(), self.ctx.ts_col().cast("string")
         both = {spec.GOLD_CHANGED_BY: by, spec.GOLD_CHANGED_AT: at}
         new = {spec.GOLD_ENTERED_BY: by, spec.GOLD_ENTERED_AT: at}
-        merge_table(
-            stage(gold_batch(changed), "gold-batch"),
-            self.tables.gold,
-            ["Code"],
-            both,
-            {**both, **new},
-            self.only_if_changed,
-        )
+        with staged(gold_batch(changed), "gold-batch") as rows:
+            merge_table(
+                rows, self.tables.gold, ["Code"], both, {**both, **new}, self.only_if_changed
+            )
 
     def export(self, directory: str, summary: RunSummary) -> None:
         """Write the gold rows of this run, and their keys alone, as CSV."""
@@ -247,11 +248,11 @@ class HotelRun:
             self.ctx.ts,
             F.col(spec.SOURCE_SYSTEM_COLUMN) == spec.SOURCE_SYSTEM,
         )
-        rows = stage(fill_blank(changed.select(*spec.gold_sources())), "export")
-        summary.exports = [
-            export_csv(rows, directory, spec.EXPORT_FILE),
-            export_csv(rows.select("code"), directory, spec.EXPORT_CODES_FILE),
-        ]
+        with staged(fill_blank(changed.select(*spec.gold_sources())), "export") as rows:
+            summary.exports = [
+                export_csv(rows, directory, spec.EXPORT_FILE),
+                export_csv(rows.select("code"), directory, spec.EXPORT_CODES_FILE),
+            ]
 
     def _newest(self, path: str):
         rows = read_drop(self.spark, path)

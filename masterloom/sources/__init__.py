@@ -9,7 +9,7 @@ from masterloom.sources.tables import (
     ensure_table,
     merge_table,
     replace_contents,
-    stage,
+    staged,
 )
 
 __all__ = [
@@ -24,6 +24,6 @@ __all__ = [
     "newest_file",
     "read_drop",
     "replace_contents",
-    "stage",
+    "staged",
     "watermark_slice",
 ]

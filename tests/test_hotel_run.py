@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import ROOT
 from masterloom.context import RunContext
 from masterloom.plans import HotelRun, HotelTables, hotel_spec
+from masterloom.sources import DuplicateKeyError, replace_contents
 
 T0 = datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc)
 
@@ -202,9 +203,7 @@ def test_only_if_changed_exports_what_changed(spark, world):
 def test_columns_of_other_sources_are_kept(spark, world):
     world(T0, gold_columns=[*hotel_spec.gold_columns(), "FormattedAddress"])
     table = f"{world.database}.gold"
-    from masterloom.sources import replace_contents, stage
-
-    replace_contents(stage(spark.table(table).withColumn("FormattedAddress", F.lit("theirs")), "x"), table)
+    replace_contents(spark.table(table).withColumn("FormattedAddress", F.lit("theirs")), table)
     world(T0 + timedelta(days=1))
     assert {r["FormattedAddress"] for r in spark.table(table).collect()} == {"theirs"}
 
@@ -221,8 +220,6 @@ def test_no_valid_file_writes_nothing(spark, world, tmp_path):
 
 
 def test_repeated_id_stops_before_silver_is_written(spark, world):
-    from masterloom.sources import DuplicateKeyError
-
     write_hotels(spark, world.hotels, "hotel_9.parquet", [hotel("H1", "a", T0 + timedelta(1))] * 2)
     with pytest.raises(DuplicateKeyError, match="SFH1|up to 2 rows"):
         world(T0)

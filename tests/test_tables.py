@@ -2,6 +2,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from masterloom.context import RunContext
@@ -117,7 +118,7 @@ def test_bucketed_target_is_not_shuffled(spark, database):
     )
     seed = spark.range(1000).select(F.col("id").cast("string").alias("Code"), F.lit("n").alias("Name"))
     tables.merge_table(seed, name, ["Code"])
-    batch = tables.stage(seed.limit(10), "batch")
+    batch = seed.limit(10)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         result = upsert(spark.table(name), batch, ["Code"])
@@ -135,7 +136,22 @@ def test_bucketed_target_is_not_shuffled(spark, database):
             assert "SortMergeJoin" in above
 
 
-def test_stage_writes_to_the_shared_folder(spark):
-    staged = tables.stage(spark.range(5), "probe")
-    assert staged.count() == 5
-    assert all("/checkpoint/masterloom/probe-" in f for f in staged.inputFiles())
+def test_staged_rows_live_in_the_shared_folder(spark):
+    with tables.staged(spark.range(5), "probe") as rows_:
+        assert rows_.count() == 5
+        files = rows_.inputFiles()
+        assert all("/checkpoint/masterloom/probe-" in f for f in files)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)
+
+
+def test_row_level_merge_is_well_formed(spark, database):
+    """No catalog here merges rows; the statement gets as far as being refused for that."""
+    name = f"{database}.gold"
+    tables.ensure_table(spark, name, string_schema(["Code", "Name", "Chg"]))
+    source = spark.createDataFrame([("a", "A")], "Code string, Name string")
+    for only_if_changed in (False, True):
+        with pytest.raises(UnsupportedOperationException) as refused:
+            stamp = {"Chg": F.lit("1")}
+            tables.merge_rows(source, name, ["Code"], stamp, stamp, only_if_changed)
+        assert refused.value.getCondition().startswith("UNSUPPORTED_FEATURE")
+    assert tables.table_provider(spark, name) == "parquet"
