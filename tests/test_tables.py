@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from masterloom.context import RunContext
 from masterloom.operators.schema import string_schema
-from masterloom.sources import tables
+from masterloom.sources import tables, watermark_slice
 from masterloom.sources.tables import DuplicateKeyError
 
 CTX = RunContext("etl", datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc), "b1")
@@ -136,6 +136,27 @@ def test_bucketed_target_is_not_shuffled(spark, database):
             assert "SortMergeJoin" in above
 
 
+@pytest.mark.parametrize("as_text", [False, True])
+def test_a_slice_of_changed_rows_skips_untouched_files(spark, database, as_text):
+    name = f"{database}.silver"
+
+    def at(day):
+        moment = F.lit(datetime(2024, 5, day, tzinfo=timezone.utc))
+        return {"Chg": moment.cast("string") if as_text else moment}
+
+    rows_ = spark.range(5000).select(F.concat(F.lit("c"), "id").alias("Code"))
+    schema = rows_.withColumns(at(1)).schema
+    tables.ensure_table(spark, name, schema)
+    tables.merge_table(rows_, name, ["Code"], at(1), at(1))
+    tables.merge_table(rows_.limit(10), name, ["Code"], at(20), at(20))
+    since = datetime(2024, 5, 20, tzinfo=timezone.utc)
+    changed = watermark_slice(spark.table(name), "Chg", since).select("Code")
+    assert len(changed.collect()) == 10
+    scan = changed._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() == 10
+    assert spark.table(name).count() == 5000
+
+
 def test_staged_rows_live_in_the_shared_folder(spark):
     with tables.staged(spark.range(5), "probe") as rows_:
         assert rows_.count() == 5
