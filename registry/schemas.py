@@ -3,7 +3,6 @@
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from masterloom.context import RunContext
 from masterloom.operators import (
@@ -104,5 +103,5 @@ def append_with_new_column(spark, folder):
     orders = table(spark, folder, "orders")
     first = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus")
     second = orders.filter("o_orderkey % 2 = 1").select("o_orderkey", "o_custkey")
-    schema: StructType = merged_schema(first.schema, second.schema)
+    schema = merged_schema(first.schema, second.schema)
     return conform(first, schema).unionByName(conform(second, schema))
