@@ -5,6 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from masterloom.llm import quality_forest
+from masterloom.llm.packing import pack_documents
 from masterloom.llm.simhash_dedup import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    placed = pack_documents(table(spark, folder, "documents"), tokenizer_path(), capacity=4096, end=1)
+    return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def tokenizer_path() -> str:
+    """Where the tokenizer file is, on the driver and on every executor alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op3_quality_forest(spark: SparkSession, folder: str) -> DataFrame:
+    stats = quality_forest.statistics_table(table(spark, folder, "documents"))
+    model = quality_forest.fit(stats, table(spark, folder, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    found = quality_forest.judged(stats, model)
+    return found.select(F.col("id").alias("doc_id"), *[F.col(f"stats.{c}") for c in counts], "base_failed", "kept", "score")
+
+
 @query()
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(table(spark, folder, "documents"), shingle=3, radius=3)
