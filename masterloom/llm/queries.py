@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterloom.llm import quality_forest
+from masterloom.llm import mixing, quality_forest
 from masterloom.llm.packing import pack_documents
 from masterloom.llm.simhash_dedup import simhash_components
 
@@ -53,6 +53,13 @@ def op3_quality_forest(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *[F.col(f"stats.{c}") for c in counts], "base_failed", "kept", "score")
 
 
+@query(mixing.ORACLE)
+def op4_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.mixed(mixing.document_sizes(table(spark, folder, "documents")))
+    taken = (F.col("size") * F.col("copies")).cast("long")
+    return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
+
+
 @query()
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(table(spark, folder, "documents"), shingle=3, radius=3)
