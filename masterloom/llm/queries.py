@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterloom.llm import mixing, quality_forest
+from masterloom.llm import line_chunks, mixing, quality_forest
+from masterloom.llm.embedding_dedup import embedding_components
 from masterloom.llm.packing import pack_documents
 from masterloom.llm.simhash_dedup import simhash_components
 
@@ -68,3 +69,16 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query()
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_components(table(spark, folder, "embeddings"), threshold=0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query(line_chunks.ORACLE)
+def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = line_chunks.drop_repeated_chunks(docs, n_chunks="n_chunks", n_removed="n_removed")
+    return found.select("doc_id", "n_chunks", "n_removed", "text")
