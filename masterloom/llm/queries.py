@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterloom.llm import line_chunks, mixing, quality_forest
+from masterloom.llm import line_chunks, mixing, quality_forest, sharding, url_cascade
 from masterloom.llm.embedding_dedup import embedding_components
 from masterloom.llm.packing import pack_documents
 from masterloom.llm.simhash_dedup import simhash_components
@@ -71,6 +71,66 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op6_uniform_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_digests(table(spark, folder, "documents"), shards=24)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+RULES = [
+    url_cascade.Rule("allow", "com"),
+    url_cascade.Rule("block", "example.com", "/en/"),
+    url_cascade.Rule("allow", "www.example.com", "/en/"),
+    url_cascade.Rule("block", "net", "/es/"),
+    url_cascade.Rule("block", "net", "/fr/"),
+]
+
+#: The listed domains of the query below and of its SQL.
+LISTED = [
+    f"{name}.example.{top}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for top in ("com", "net", "org")
+]
+
+
+@query(
+    rf"""
+WITH urls AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM urls
+), listed AS (
+  SELECT unnest({LISTED!r}) AS domain
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN EXISTS (SELECT 1 FROM listed WHERE host = domain OR ends_with(host, '.' || domain)) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+)
+def op7_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    listed = spark.createDataFrame([(domain,) for domain in LISTED], "key string")
+    found = url_cascade.filter_urls(table(spark, folder, "pages").select("page_id", "url"), RULES, listed)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query()
 def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = embedding_components(table(spark, folder, "embeddings"), threshold=0.9)
