@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterloom.llm import line_chunks, mixing, quality_forest, sharding, url_cascade
+from masterloom.llm import license_scan, line_chunks, mixing, quality_forest, sharding, url_cascade
 from masterloom.llm.embedding_dedup import embedding_components
+from masterloom.llm.html_text import extract_text
 from masterloom.llm.packing import pack_documents
 from masterloom.llm.simhash_dedup import simhash_components
 
@@ -32,6 +33,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages").select("page_id", "html"), "html", "text")
+
+
 @query()
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     placed = pack_documents(table(spark, folder, "documents"), tokenizer_path(), capacity=4096, end=1)
@@ -137,6 +143,11 @@ def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+@query(license_scan.ORACLE)
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_of_documents(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query(line_chunks.ORACLE)
 def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
