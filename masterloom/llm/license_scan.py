@@ -93,8 +93,8 @@ def normalised_words(text: Column) -> Column:
     return F.split(F.trim(F.lower(F.regexp_replace(text, _BETWEEN_WORDS, " "))), " ")
 
 
-def bigrams(words: str) -> Column:
-    """The distinct word bigrams of an array column, hashed."""
+def bigrams(words: Column) -> Column:
+    """The distinct word bigrams of an array, hashed."""
     first, second = F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words))
     return F.array_distinct(F.zip_with(first, second, lambda a, b: F.xxhash64(a, b)))
 
@@ -103,7 +103,7 @@ def template_bigrams(spark: SparkSession, templates: Mapping[str, tuple[str, ...
     """License and bigrams of every template, in the order of licenses."""
     rows = [(number, name, text) for number, (name, text) in enumerate((n, t) for n in sorted(templates) for t in templates[n])]
     made = spark.createDataFrame(rows, "number int, name string, text string")
-    made = made.withColumn("words", normalised_words(F.col("text"))).withColumn("bigrams", bigrams("words"))
+    made = made.withColumn("words", normalised_words(F.col("text"))).withColumn("bigrams", bigrams(F.col("words")))
     return [(r["name"], r["bigrams"]) for r in made.orderBy("number").collect()]
 
 
@@ -121,7 +121,9 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         of("block", F.when(F.size("blocks") > 1, F.col("blocks")).otherwise(none)),
         of("text", F.when(F.size("lines") > 1, F.array("text")).otherwise(none)),
     )
-    return rows.select("id", F.explode(every).alias("unit")).select("id", "unit.*")
+    # The outer forms, here and below: for the others the planner infers a filter on the
+    # array, which goes below all steps and computes each of them again.
+    return rows.select("id", F.explode_outer(every).alias("unit")).select("id", "unit.*").filter("text IS NOT NULL")
 
 
 def scan(
@@ -134,21 +136,25 @@ def scan(
     """``id``, ``kind``, ``number``, ``license`` and ``dice`` of every unit that matches."""
     known = template_bigrams(docs.sparkSession, templates)
     share = threshold / (2 - threshold)
-    shortest = min(len(grams) for _, grams in known)
-    found = units(docs, id_col, text_col).withColumn("words", normalised_words(F.col("text")))
-    # No more bigrams than words but one: too few words for every template.
-    found = found.filter(F.size("words") - 1 >= share * shortest).withColumn("grams", bigrams("words"))
-    found = found.select("id", "kind", "number", "grams", F.size("grams").alias("n"))
-    longest = max(len(grams) for _, grams in known)
-    found = found.filter((F.col("n") >= share * shortest) & (share * F.col("n") <= longest))
+    shortest, longest = (f(len(grams) for _, grams in known) for f in (min, max))
+    # Arrays of at most one element, exploded at the end: each step is computed once, and
+    # only if the step before leaves something.  No more bigrams than words but one.
+    words = F.filter(F.array(normalised_words(F.col("text"))), lambda w: F.size(w) - 1 >= share * shortest)
+    grams = F.filter(F.transform(words, bigrams), lambda g: (F.size(g) >= share * shortest) & (share * F.size(g) <= longest))
+    found = units(docs, id_col, text_col).select("id", "kind", "number", F.explode_outer(grams).alias("grams"))
+    found = found.filter("grams IS NOT NULL").withColumn("n", F.size("grams"))
     best = []
     for place, (name, grams) in enumerate(known):
         near = (F.col("n") >= share * len(grams)) & (share * F.col("n") <= len(grams))
-        common = F.size(F.array_intersect("grams", F.lit(grams)))
-        dice = F.when(near, 2.0 * common / (F.col("n") + len(grams)))
+        # One text literal, which the planner folds to an array once.
+        wanted = F.split(F.lit(",".join(map(str, grams))), ",").cast("array<bigint>")
+        dice = F.when(near, 2.0 * F.size(F.array_intersect("grams", wanted)) / (F.col("n") + len(grams)))
         best.append(F.struct(F.coalesce(dice, F.lit(0.0)).alias("dice"), F.lit(-place).alias("order"), F.lit(name).alias("license")))
-    found = found.withColumn("best", F.greatest(*best) if len(best) > 1 else best[0])
-    return found.filter(F.col("best.dice") >= threshold).select("id", "kind", "number", "best.license", "best.dice")
+    first = F.array(F.greatest(*best) if len(best) > 1 else best[0])
+    # Exploded rather than filtered: the comparison is made, and planned, once.
+    hit = F.explode_outer(F.filter(first, lambda b: b["dice"] >= threshold)).alias("hit")
+    found = found.select("id", "kind", "number", hit).filter("hit IS NOT NULL")
+    return found.select("id", "kind", "number", "hit.license", "hit.dice")
 
 
 def license_of_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
