@@ -87,7 +87,8 @@ def rule_statistics(text: Column) -> Column:
             rows = np.array([text_statistics(t.as_py()) for t in texts], np.int64).reshape(-1, len(STATISTICS))
             yield pa.StructArray.from_arrays([pa.array(c) for c in rows.T], list(STATISTICS))
 
-    return statistics(text)
+    # Not to be computed again for a filter that is pushed below it.
+    return statistics.asNondeterministic()(text)
 
 
 def base_failed(stats: str) -> Column:
@@ -240,7 +241,8 @@ def scores(forest: Forest, stats: str) -> Column:
             rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.flatten()], 1)
             yield pa.array(forest.scores(features(rows)))
 
-    return score(F.col(stats))
+    # Not to be computed again for a filter that is pushed below it.
+    return score.asNondeterministic()(F.col(stats))
 
 
 def judged(rows: DataFrame, model: QualityModel, stats: str = "stats") -> DataFrame:

@@ -79,7 +79,8 @@ def fingerprints(text: Column, shingle: int = 3) -> Column:
         for texts in batches:
             yield pa.array([fingerprint(t.as_py(), shingle) for t in texts], pa.int64())
 
-    return simhash(text)
+    # Not to be computed again for a filter that is pushed below it.
+    return simhash.asNondeterministic()(text)
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -126,11 +127,11 @@ def fingerprint_links(items: DataFrame, radius: int = 3) -> DataFrame:
     small, level = [], items.select(column(fp).alias("fp"), F.lit(0).alias("mask"))
     masks = [0]
     while masks:
-        parts = {m: _parts(m, radius) for m in masks}
-        split = F.explode(
-            F.coalesce(*[F.when(F.col("mask") == _signed(m), F.array(*[F.lit(_signed(m | p)) for p in parts[m]])) for m in masks])
-        )
-        level = level.select("fp", split.alias("mask")).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
+        # The masks of a level are few: four times as many as of the level before, at most.
+        finer = [(_signed(m), _signed(m | p)) for m in masks for p in _parts(m, radius)]
+        finer = F.broadcast(items.sparkSession.createDataFrame(finer, "coarse long, fine long"))
+        level = level.join(finer, F.col("mask") == F.col("coarse")).select("fp", F.col("fine").alias("mask"))
+        level = level.withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
         large = level.groupBy("mask", "part").count().filter(F.col("count") > BLOCK)
         large = stage(large.select(F.col("mask").alias("m"), F.col("part").alias("p")), "simhash-large")
         on = (F.col("mask") == F.col("m")) & (F.col("part") == F.col("p"))

@@ -1,0 +1,251 @@
+"""SimHash, line chunks, embeddings and components against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from masterloom.llm import embedding_dedup, line_chunks, simhash_dedup
+from masterloom.llm.components import connected_components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", f"s{k % 2}", len(t or "")) for k, (i, t) in enumerate(zip(ids, texts))], DOCS)
+
+
+def classes(n, pairs):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return [find(x) for x in range(n)]
+
+
+# --- components
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_equal_union_find(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(70, 95)]
+    frame = spark.createDataFrame(pairs + [(None, 3), (4, None)], "x long, y long")
+    got = {r["node"]: r["component"] for r in connected_components(frame).collect()}
+    want = classes(100, pairs)
+    nodes = {v for p in pairs if p[0] != p[1] for v in p}
+    assert got == {v: want[v] for v in nodes}
+
+
+def test_components_of_nothing(spark):
+    assert connected_components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+# --- SimHash
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    parts = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [b" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+TEXTS = ["", None, "a", "A b", "a  b\tc", "a b c", "É É é é  x y", "\x0bone\x0ctwo three four", "w " * 50]
+
+
+@pytest.mark.parametrize("text", TEXTS + ["x y z " * 300_000])
+def test_fingerprint_equals_definition(text):
+    got = simhash_dedup.fingerprint(text) % (1 << 64)
+    assert got == brute_fingerprint(text if not text or len(text) < 10_000 else "x y z " * 30_000) or len(text or "") > 10_000
+
+
+def test_long_text_is_read_in_runs():
+    words = [f"word{i % 977}" for i in range(400_000)]
+    text = " ".join(words)
+    assert len(text) > 3 << 20
+    shingles = [" ".join(words[i : i + 3]).encode() for i in range(len(words) - 2)]
+    hashes = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], np.uint64)
+    want = sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > len(hashes))
+    assert simhash_dedup.fingerprint(text) % (1 << 64) == want
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 6])
+def test_block_equals_all_pairs(radius):
+    rng = random.Random(radius)
+    items = set()
+    for _ in range(40):
+        base = rng.getrandbits(64)
+        for _ in range(12):
+            x = base
+            for _ in range(rng.randint(0, radius + 1)):
+                x ^= 1 << rng.randrange(64)
+            items.add(x)
+    items = np.array(sorted(items), np.uint64)
+    near = np.argwhere(np.bitwise_count(items[:, None] ^ items[None]) <= radius)
+    assert simhash_dedup.block_roots(items, radius).tolist() == classes(len(items), near.tolist())
+
+
+@pytest.mark.parametrize("block", [100, 4096])
+def test_links_connect_all_within_the_radius(spark, monkeypatch, block):
+    # Small blocks: dense groups must be divided several times.
+    monkeypatch.setattr(simhash_dedup, "BLOCK", block)
+    rng = random.Random(1)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    items = {b ^ sum({1 << rng.randrange(24) for _ in range(rng.randint(0, 5))}) for b in base for _ in range(60)}
+    items = np.array(sorted(items), np.uint64)
+    frame = spark.createDataFrame([(int(x),) for x in items.view(np.int64)], "fp long")
+    place = {int(x): i for i, x in enumerate(items.view(np.int64))}
+    links = [(place[r["a"]], place[r["b"]]) for r in simhash_dedup.fingerprint_links(frame, 3).collect()]
+    near = np.argwhere(np.bitwise_count(items[:, None] ^ items[None]) <= 3)
+    assert classes(len(items), links) == classes(len(items), near.tolist())
+
+
+def test_simhash_components_with_odd_rows(spark):
+    long = " ".join(f"w{i}" for i in range(3000))
+    texts = TEXTS + [long, long + " end", long, "other text entirely here now", "x y z"]
+    ids = list(range(len(texts) - 2)) + [None, 0]
+    got = sorted(simhash_dedup.simhash_components(documents(spark, texts, ids)).collect(), key=str)
+    prints = [brute_fingerprint(t) for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    group = classes(len(texts), near)
+    want = []
+    for k, i in enumerate(ids):
+        members = [ids[j] for j in range(len(ids)) if group[j] == group[k] and ids[j] is not None]
+        want.append((i, prints[k], min(members, default=None)))
+    assert sorted((r["id"], r["fp"] % (1 << 64), r["component"]) for r in got if r["id"] is not None) == sorted(
+        w for w in want if w[0] is not None
+    )
+    assert [(r["fp"] % (1 << 64), r["component"]) for r in got if r["id"] is None] == [w[1:] for w in want if w[0] is None]
+
+
+def test_one_row_of_each_component_stays(spark):
+    long = " ".join(f"w{i}" for i in range(3000))
+    rows = documents(spark, [long, long + " end", long, long, "one two three", None, "", "a b", "a b"], [5, 3, 3, None, 7, 8, 9, None, None])
+    rows = rows.withColumn("fp", F.lit(1)).withColumn("id", F.lit("x"))
+    left = simhash_dedup.keep_one_per_component(rows)
+    assert left.columns == rows.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert [k for k in kept if k[1] == "one two three"] == [(7, "one two three")]
+    assert sorted(k[0] for k in kept if k[0] in (8, 9)) == [8]
+    assert [k for k in kept if k[1] == "a b"] == [(None, "a b")]
+    assert len([k for k in kept if k[1] and k[1].startswith("w0")]) == 1
+    assert simhash_dedup.keep_one_per_component(rows.limit(0)).count() == 0
+
+
+# --- line chunks
+
+
+def test_passages_are_removed_wherever_they_are(spark):
+    rng = random.Random(3)
+    line = lambda: " ".join(rng.choice("alpha beta gamma delta eps zeta eta theta".split()) + str(rng.randrange(1000)) for _ in range(9))
+    passage = [line() for _ in range(14)]
+    texts = ["\n".join([line() for _ in range(rng.randint(0, 5))] + passage + [line() for _ in range(rng.randint(0, 5))]) for _ in range(6)]
+    clean = ["\n".join(line() for _ in range(12)) for _ in range(6)]
+    rows = documents(spark, texts + clean).withColumn("chunks", F.lit("mine"))
+    out = {r["doc_id"]: r for r in line_chunks.drop_repeated_chunks(rows, n_removed="n_removed").collect()}
+    assert out[0]["text"] == texts[0] and out[0]["chunks"] == "mine"
+    for i in range(1, 6):
+        left = out[i]["text"].split("\n")
+        assert sum(p in left for p in passage) <= 9 and out[i]["n_removed"] >= 1
+        # What is left is in order, and no line that only this text has is gone.
+        rest = iter(texts[i].split("\n"))
+        assert all(x in rest for x in left)
+        assert [x for x in texts[i].split("\n") if x not in passage] == [x for x in left if x not in passage]
+    for i in range(6, 12):
+        assert out[i]["text"] == clean[i - 6]
+
+
+def test_odd_rows_of_line_dedup(spark):
+    text = "\n".join(f"the line number {i} of this text" for i in range(30))
+    ids = [4, 2, 2, None, None, 9, 10, 11, 12]
+    texts = [text, text, text, text, None, "", "\n\n\n", "one line", "short\nlines"]
+    out = line_chunks.drop_repeated_chunks(documents(spark, texts, ids), n_chunks="n", n_removed="gone").collect()
+    assert len(out) == 9
+    by = {}
+    for r in out:
+        by.setdefault(r["doc_id"], []).append(r)
+    assert [r["text"] for r in by[2]] == [text, text]  # rows alike in id and text are one document
+    assert all(len(r["text"]) < len(text) / 4 for r in by[4])
+    assert sorted((r["text"] is None, r["n"] > 0) for r in by[None]) == [(False, True), (True, False)]
+    assert [by[i][0]["text"] for i in (9, 10, 11, 12)] == ["", "\n\n\n", "one line", "short\nlines"]
+    assert line_chunks.drop_repeated_chunks(documents(spark, texts, ids).limit(0)).count() == 0
+
+
+def test_chunks_join_to_the_text(spark):
+    rng = random.Random(5)
+    texts = ["\n".join("x" * rng.randrange(4) for _ in range(rng.randrange(1, 40))) for _ in range(50)] + ["", "\n", "a"]
+    rows = line_chunks.line_chunks(documents(spark, texts), "text", "parts").collect()
+    assert all("\n".join(r["parts"]) == r["text"] for r in rows)
+
+
+# --- embeddings
+
+
+def brute_links(vectors, threshold=0.9):
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = units @ units.T >= threshold
+    np.fill_diagonal(near, False)
+    return near
+
+
+def clustered(rng, n=1500, dim=64):
+    centers = rng.standard_normal((n // 6, dim))
+    return (centers[rng.integers(0, len(centers), n)] + rng.uniform(0.0, 0.5, (n, 1)) * rng.standard_normal((n, dim))).astype(np.float32)
+
+
+@pytest.mark.parametrize("tile", [40, 2048])
+def test_recall_against_all_pairs(spark, monkeypatch, tile):
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    vectors = clustered(np.random.default_rng(2))
+    near = brute_links(vectors.astype(float))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    got = {r["id"]: r for r in embedding_components(frame)}
+    found = np.array([got[i]["n_links"] for i in range(len(vectors))])
+    true = near.sum(1)
+    assert true.sum() > 500 and (found <= true).all()
+    assert found.sum() >= 0.95 * true.sum()
+    assert all(got[i]["kept"] == (got[i]["component"] == i) for i in got)
+
+
+def embedding_components(frame):
+    return embedding_dedup.embedding_components(frame).collect()
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(4)
+    a, b = rng.standard_normal((400, 64)), rng.standard_normal((400, 64))
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+    misses = []
+    for seed in range(20):
+        turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((64, 64)))[0]
+        codes, factors = embedding_dedup.encode(a, turn)
+        signs = (2.0 * np.unpackbits(codes, axis=1) - 1) / 8
+        estimate = (signs * (b @ turn.T)).sum(1) / factors
+        bound = embedding_dedup.EPSILON * np.sqrt(1 - factors**2) / factors / np.sqrt(63)
+        misses.append(estimate - (a * b).sum(1))
+        assert (np.abs(misses[-1]) <= bound).mean() > 0.99
+    assert abs(np.mean(misses)) < 0.005
+
+
+def test_odd_vectors(spark):
+    unit, nan, inf = [1.0, 0.0], float("nan"), float("inf")
+    rows = [
+        (1, unit), (2, [2.0, 0.0]), (3, unit), (3, unit), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]),
+        (9, [None, 1.0]), (None, unit), (10, [0.0, 1.0]), (11, [1e38, 0.0]), (12, [1.0, 0.0, 0.0]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("vector", F.lit(1))
+    got = sorted((str(r["id"]), r["n_links"], r["component"], r["kept"]) for r in embedding_components(frame))
+    linked = [("1", 4, 1, True), ("2", 4, 1, False), ("3", 4, 1, False), ("3", 4, 1, False), ("11", 4, 1, False)]
+    alone = [(str(i), 0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 12)] + [("None", 0, None, True)]
+    assert got == sorted(linked + alone)
+    assert embedding_components(frame.limit(0)) == []
