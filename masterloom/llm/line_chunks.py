@@ -84,8 +84,10 @@ def drop_repeated_chunks(
     chunks, print_, verdicts = (fresh(docs, stem) for stem in ("chunks", "print", "verdicts"))
     key = column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("print")
     texts = docs.filter(column(text_col).isNotNull()).select(*key, column(text_col).alias("text"))
-    found = line_chunks(texts, "text", "chunks").select("id", "print", F.posexplode("chunks").alias("k", "chunk"))
-    found = found.withColumn("hash", F.xxhash64("chunk"))
+    # The outer form: for the other one the planner infers a filter on the array, which
+    # goes below all steps and computes each of them many times.
+    found = line_chunks(texts, "text", "chunks").select("id", "print", F.posexplode_outer("chunks").alias("k", "chunk"))
+    found = found.filter("chunk IS NOT NULL").withColumn("hash", F.xxhash64("chunk"))
     repeated = (
         found.filter(several_lines(F.col("chunk"), min_lines, min_chars))
         .groupBy("hash", "chunk")
