@@ -18,8 +18,8 @@ from masterloom.operators.schema import quoted
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-FREQUENT_KEYS = 256
-TRACKED_KEYS = 4096
+# A key is spread if it has more rows than so many even shuffle partitions.
+FREQUENT_SHARE = 2
 
 
 def one_row_per_key(
@@ -68,26 +68,16 @@ def fits_broadcast(
     return [fits[i] for i in range(len(tables))]
 
 
-def frequent_keys(df: DataFrame, key: Column, most: int = FREQUENT_KEYS) -> list:
-    """The ``most`` most frequent keys, null apart; every key with a large share is in it.
+def frequent_keys(df: DataFrame, key: Column, partitions: int, share: float = FREQUENT_SHARE) -> DataFrame:
+    """``hot``: the keys with more than ``share`` times the rows of an even shuffle partition.
 
-    Counted in sketches of bounded size, merged per group of input partitions and
-    then summed up.  The counts are estimates: they decide how rows are spread,
-    never which rows are joined.
+    Every such key is in it, and there are at most ``partitions / share`` of them, so
+    they can be broadcast.  Counted exactly, and combined before the shuffle; null is
+    left out.
     """
-    top = F.expr(f"approx_top_k(key, {most}, {TRACKED_KEYS})")
-    return [
-        row["key"]
-        for row in df.select(key.alias("key"), (F.spark_partition_id() % 256).alias("part"))
-        .filter(F.col("key").isNotNull())
-        .groupBy("part")
-        .agg(F.explode(top).alias("top"))
-        .groupBy(F.col("top.item").alias("key"))
-        .agg(F.sum("top.count").alias("n"))
-        .orderBy(F.desc("n"), "key")
-        .limit(most)
-        .collect()
-    ]
+    counts = df.groupBy(key.alias("hot")).agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.lit(1)).count()
+    return counts.filter(F.col("hot").isNotNull() & (F.col("n") * partitions > share * rows)).select("hot")
 
 
 def attach(
@@ -96,6 +86,7 @@ def attach(
     key: Column,
     broadcast: bool | None = None,
     salts: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join a table of one row per ``__key``; the key column is dropped.
 
@@ -103,22 +94,26 @@ def attach(
     frequent key or with none get one of ``salts`` (as many as there are shuffle
     partitions) by a hash of the whole row, and the lookup rows of the frequent
     keys are repeated once per salt.  Exact copies of one row share a salt; what
-    they leave of a skew is split by adaptive execution.
+    they leave of a skew is split by adaptive execution.  ``hot`` gives the frequent
+    keys where the caller knows them.
     """
     if broadcast is None:
         (broadcast,) = fits_broadcast(dim)
     if broadcast:
         return df.join(F.broadcast(dim), key == F.col("__key"), "left").drop("__key")
     salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frequent = frequent_keys(df, key)
+    if hot is None:
+        hot = frequent_keys(df, key, salts)
+    found = [row["hot"] for row in hot.collect()]
+    frequent = hot.sparkSession.createDataFrame([(k,) for k in found], hot.schema)
     spread = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(salts)).cast("int")
-    salted = df.withColumn(
-        "__salt", F.when(key.isNull() | key.isin(frequent), spread).otherwise(F.lit(0))
-    )
-    numbers = F.when(
-        F.col("__key").isin(frequent), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    copies = dim.withColumn("__copy", F.explode(numbers))
+    flagged = df.join(F.broadcast(frequent), key == F.col("hot"), "left")
+    salted = flagged.withColumn(
+        "__salt", F.when(key.isNull() | F.col("hot").isNotNull(), spread).otherwise(F.lit(0))
+    ).drop("hot")
+    numbers = F.when(F.col("hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = dim.join(F.broadcast(frequent), F.col("__key") == F.col("hot"), "left")
+    copies = copies.withColumn("__copy", F.explode(numbers)).drop("hot")
     on = (key == F.col("__key")) & (F.col("__salt") == F.col("__copy"))
     # Without the hint a compressed size could still talk the planner into a broadcast.
     return salted.join(copies.hint("merge"), on, "left").drop("__key", "__salt", "__copy")

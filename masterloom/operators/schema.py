@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import AtomicType, DataType, DecimalType, NullType, StringType, StructField, StructType
 
 from masterloom.context import RunContext
 
@@ -52,12 +52,51 @@ def string_schema(names: Iterable[str]) -> StructType:
     return StructType([StructField(name, StringType()) for name in names])
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+class SchemaDriftError(ValueError):
+    """Columns whose values the target's types cannot hold."""
+
+
+# Digits of the integral types, narrowest first.
+INTEGRAL_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def keeps_values(source: DataType, target: DataType) -> bool:
+    """Whether a cast from one type to the other changes no value."""
+    a, b = source.simpleString(), target.simpleString()
+    if a == b or isinstance(source, NullType):
+        return True
+    if b == "string":
+        return isinstance(source, AtomicType) and a != "binary"
+    if isinstance(target, DecimalType):
+        whole, scale = target.precision - target.scale, target.scale
+        if isinstance(source, DecimalType):
+            return source.precision - source.scale <= whole and source.scale <= scale
+        return INTEGRAL_DIGITS.get(a, 99) <= whole
+    if a in INTEGRAL_DIGITS:
+        wider = {"double": 10, "float": 5}
+        return INTEGRAL_DIGITS[a] <= INTEGRAL_DIGITS.get(b, wider.get(b, 0))
+    return (a, b) in {("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz")}
+
+
+def narrowed_columns(df: DataFrame, schema: StructType) -> list[str]:
+    """Columns that the target has in a type that cannot hold their values."""
+    known = {f.name.lower(): f.dataType for f in schema.fields}
+    return [
+        f"{f.name}: {f.dataType.simpleString()} to {known[f.name.lower()].simpleString()}"
+        for f in df.schema.fields
+        if f.name.lower() in known and not keeps_values(f.dataType, known[f.name.lower()])
+    ]
+
+
+def conform(df: DataFrame, schema: StructType, lossless: bool = False) -> DataFrame:
     """The table in the target's columns, order, spelling and types.
 
     Names match in any case.  A column the table lacks becomes a typed null; one
-    the target lacks is left out (``schema_drift`` reports both).
+    the target lacks is left out (``schema_drift`` reports both).  With ``lossless``
+    a cast that could change a value raises ``SchemaDriftError`` instead.
     """
+    if lossless and (narrowed := narrowed_columns(df, schema)):
+        raise SchemaDriftError(f"the table's types cannot hold these columns: {narrowed}")
     present = {name.lower(): name for name in df.columns}
 
     def column(f: StructField) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from masterloom.operators import (
     Reference,
     add_audit,
     apply_mapping,
+    attach,
     enrich_reference,
     fits_broadcast,
     lookup_join,
@@ -43,10 +45,14 @@ from masterloom.sources import (
     newest_file,
     read_drop,
     staged,
+    utc_text,
     watermark_slice,
 )
+from masterloom.sources.drops import EPOCH
 
 TIMESTAMP = "lastmodifieddate"
+#: Property of the gold table: microseconds of the newest silver time that has reached it.
+REACHED = "masterloom.silver_reached"
 SILVER_AUDIT = ("createdby", "lastupdatedby", "createdtimestamp", "lastupdatedtimestamp")
 
 
@@ -54,10 +60,10 @@ SILVER_AUDIT = ("createdby", "lastupdatedby", "createdtimestamp", "lastupdatedti
 class HotelTables:
     """Table names, and how new ones are laid out."""
 
-    bronze_hotel: str = "bronze_incremental.b_sf_hotel_incremental"
-    bronze_brand: str = "bronze_incremental.b_sf_brand_incremental"
-    silver: str = "silver_incremental.s_sf_hotel_incremental"
-    gold: str = "gold.g_hotel_master"
+    bronze_hotel: str
+    bronze_brand: str
+    silver: str
+    gold: str
     # All columns, in order, of a gold table that does not exist yet: the wide table
     # is shared, and most of its columns belong to other sources.  Without a list it
     # gets the columns this job writes.
@@ -97,26 +103,11 @@ def silver_batch(
         sides = (brands.select("id", "name"), country_ref, brand_ref, dial_plan)
         # Where one is too large as it stands, each join measures its reduced side.
         broadcast = all(fits_broadcast(*sides)) or None
-    named = lookup_join(
-        hotels,
-        brands,
-        ("hotelbrandc", "id"),
-        {"brandname": "name"},
-        [TIMESTAMP, "lastupdatedtimestamp"],
-        broadcast,
-    )
-    enriched = enrich_reference(
-        named,
-        {
-            "countryc": Reference(country_ref, "iso3char", spec.COUNTRY_COLUMNS),
-            "brandname": Reference(brand_ref, "brbrandname", spec.BRAND_COLUMNS),
-        },
-        broadcast,
-    )
+    enriched = _with_lookups(hotels, brands, country_ref, brand_ref, broadcast)
     keyed = enriched.withColumns(
         {
             "Code": code_field("id", spec.CODE_PREFIX),
-            "phone": concat_phone_parts(*spec.PHONE_PARTS),
+            "phone": concat_phone_parts(*spec.PHONE_PARTS[1:], country=spec.PHONE_PARTS[0]),
             **{f"{b}_standardized": reference_fallback(a, b) for a, b in spec.FALLBACKS.items()},
         }
     )
@@ -127,7 +118,7 @@ def silver_batch(
     standardized = coded.withColumns(
         {
             "sixdigitphonenumber": last_digits("formattedphone"),
-            "StreetAddressFullAddressLine": full_address(spec.ADDRESS_FIELDS.split()),
+            "StreetAddressFullAddressLine": full_address(spec.ADDRESS_FIELDS),
             "formattedcheckintimec": hhmm_time("checkintimec"),
             "formattedcheckouttimec": hhmm_time("checkouttimec"),
             "SELECTHotelFlag": initial_flag("programaffiliationc", "S"),
@@ -137,6 +128,42 @@ def silver_batch(
     return fill_blank(apply_mapping(standardized, spec.silver_mapping()))
 
 
+def _with_lookups(
+    hotels: DataFrame, brands: DataFrame, country_ref: DataFrame, brand_ref: DataFrame, broadcast: bool | None
+) -> DataFrame:
+    """``hotels`` with brand name, country and brand columns.
+
+    Small lookups are broadcast, one after another.  Otherwise they are resolved on the
+    distinct pairs of the hotels' two keys, which are narrow, and the wide rows are
+    shuffled once, to the resolved pairs.
+    """
+
+    def resolved(rows: DataFrame) -> DataFrame:
+        named = lookup_join(
+            rows,
+            brands,
+            ("hotelbrandc", "id"),
+            {"brandname": "name"},
+            [TIMESTAMP, "lastupdatedtimestamp"],
+            broadcast,
+        )
+        return enrich_reference(
+            named,
+            {
+                "countryc": Reference(country_ref, "iso3char", spec.COUNTRY_COLUMNS),
+                "brandname": Reference(brand_ref, "brbrandname", spec.BRAND_COLUMNS),
+            },
+            broadcast,
+        )
+
+    if broadcast:
+        return resolved(hotels)
+    keys = ["hotelbrandc", "countryc"]
+    pairs = resolved(hotels.select(*keys).distinct())
+    pair = F.struct(*keys)
+    return attach(hotels, pairs.select(pair.alias("__key"), *[c for c in pairs.columns if c not in keys]), pair, False)
+
+
 def gold_batch(silver: DataFrame) -> DataFrame:
     """The gold columns that silver rows set, all strings."""
     return apply_mapping(
@@ -152,9 +179,9 @@ class HotelRun:
     """One run over a hotel drop and a brand drop.
 
     The steps may be called one by one or through ``run``.  Each replaces what an
-    earlier attempt on the same files left, so a failed run is simply run again;
-    with ``only_if_changed`` under the same context, so that the rows the first
-    attempt stamped count as changed.
+    earlier attempt on the same files left, so a failed run is simply run again, under
+    a new context too: the gold table keeps the time up to which silver has reached it
+    (``REACHED``), and a run takes all silver rows after that.
     """
 
     spark: SparkSession
@@ -162,9 +189,11 @@ class HotelRun:
     country_ref: DataFrame
     brand_ref: DataFrame
     dial_plan: DataFrame
-    tables: HotelTables = HotelTables()
+    tables: HotelTables
     code_mode: str = "strip"
     only_if_changed: bool = False
+    # One CSV file, written by one task, instead of a folder of parts.
+    single_export: bool = False
 
     def run(self, hotel_path: str, brand_path: str, export_dir: str) -> RunSummary:
         """Drops to CSV.  Without a valid hotel or brand file nothing is written."""
@@ -229,16 +258,25 @@ class HotelRun:
             bucket_by=["Code"],
             buckets=self.tables.buckets,
         )
-        changed = watermark_slice(
-            self.spark.table(self.tables.silver), "lastupdatedtimestamp", self.ctx.ts
-        )
-        by, at = self.ctx.user_col(), self.ctx.ts_col().cast("string")
+        silver = self.spark.table(self.tables.silver)
+        since = self._reached()
+        changed = silver if since is None else watermark_slice(silver, "lastupdatedtimestamp", since)
+        upto = changed.agg(F.max(F.unix_micros("lastupdatedtimestamp")).alias("upto")).first()["upto"]
+        by, at = self.ctx.user_col(), F.lit(utc_text(self.ctx.ts))
         both = {spec.GOLD_CHANGED_BY: by, spec.GOLD_CHANGED_AT: at}
         new = {spec.GOLD_ENTERED_BY: by, spec.GOLD_ENTERED_AT: at}
         with staged(gold_batch(changed), "gold-batch") as rows:
             merge_table(
                 rows, self.tables.gold, ["Code"], both, {**both, **new}, self.only_if_changed
             )
+        if upto is not None:
+            self.spark.sql(f"ALTER TABLE {self.tables.gold} SET TBLPROPERTIES ('{REACHED}' = '{upto}')")
+
+    def _reached(self) -> datetime | None:
+        """The first moment whose silver rows have not reached gold; None: take all."""
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.tables.gold}").filter(F.col("key") == REACHED)
+        kept = shown.first()
+        return None if kept is None else EPOCH + timedelta(microseconds=int(kept["value"]) + 1)
 
     def export(self, directory: str, summary: RunSummary) -> None:
         """Write the gold rows of this run, and their keys alone, as CSV."""
@@ -250,8 +288,8 @@ class HotelRun:
         )
         with staged(fill_blank(changed.select(*spec.gold_sources())), "export") as rows:
             summary.exports = [
-                export_csv(rows, directory, spec.EXPORT_FILE),
-                export_csv(rows.select("code"), directory, spec.EXPORT_CODES_FILE),
+                export_csv(rows, directory, spec.EXPORT_FILE, self.single_export),
+                export_csv(rows.select("code"), directory, spec.EXPORT_CODES_FILE, self.single_export),
             ]
 
     def _newest(self, path: str):

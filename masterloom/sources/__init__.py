@@ -2,7 +2,7 @@
 
 from masterloom.sources.drops import NewestFile, latest_batch, newest_file, read_drop
 from masterloom.sources.export import export_csv
-from masterloom.sources.slices import batch_slice, watermark_slice
+from masterloom.sources.slices import batch_slice, utc_text, watermark_slice
 from masterloom.sources.tables import (
     DuplicateKeyError,
     append_evolving,
@@ -25,5 +25,6 @@ __all__ = [
     "read_drop",
     "replace_contents",
     "staged",
+    "utc_text",
     "watermark_slice",
 ]

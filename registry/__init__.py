@@ -31,4 +31,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-from registry import columns, drops, hotels, joins, schemas, upserts  # noqa: E402,F401
+from registry import columns, drops, hotels, joins, schemas, upserts, writes  # noqa: E402,F401

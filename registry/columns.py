@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from masterloom.functions import (
     code_field,
     concat_phone_parts,
+    phone_part,
     fill_blank,
     full_address,
     hhmm_time,
@@ -55,6 +56,35 @@ def fallback_of_reference(spark, folder):
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, concat('+4930', lpad(CAST(o_orderkey % 1000000 AS STRING), 6, '1')) AS composed,
+           CASE o_orderkey % 3 WHEN 0 THEN concat('617.', CAST(o_orderkey AS STRING), '5')
+             WHEN 1 THEN CAST(o_orderkey AS STRING) ELSE concat(CAST(o_orderkey AS STRING), '000') END AS dotted
+    FROM orders
+    """
+)
+def phone_composed(spark, folder):
+    """A region with a wide range of lengths takes off a composed code once; dots do not cut a number."""
+    orders = table(spark, folder, "orders").withColumn("key", F.col("o_orderkey").cast("string"))
+    raw = orders.select(
+        "o_orderkey",
+        concat_phone_parts(
+            F.lit("30.0"), F.lpad((F.col("o_orderkey") % 1000000).cast("string"), 6, "1"), country=F.lit("49.0")
+        ).alias("phone"),
+        F.lit("49").alias("country_code"),
+        F.lit("0").alias("trunk_prefix"),
+        F.lit(6).alias("min_len"),
+        F.lit(11).alias("max_len"),
+        phone_part(
+            F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("617."), "key", F.lit("5")))
+            .when(F.col("o_orderkey") % 3 == 1, F.concat("key", F.lit(".00")))
+            .otherwise(F.concat("key", F.lit("E3")))
+        ).alias("dotted"),
+    )
+    return normalize_phones(raw, {"composed": "phone"}).select("o_orderkey", "composed", "dotted")
+
+
 @query(
     """
     SELECT o_orderkey,

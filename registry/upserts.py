@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from masterloom.operators import reject_blank_keys, upsert
 from registry import query, table
 
-# The target: two thirds of the orders.  The batch: every second order.
+# The target: two thirds of the orders.  The batch: every second and every third order.
 SPLIT = """
     WITH tgt AS (
       SELECT o_orderkey AS code, o_orderstatus AS status, o_orderpriority AS note,
@@ -13,7 +13,7 @@ SPLIT = """
       FROM orders WHERE o_orderkey % 3 <> 0),
     src AS (
       SELECT o_orderkey AS code, CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE 'new' END AS status
-      FROM orders WHERE o_orderkey % 2 = 0)
+      FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)
 """
 
 
@@ -26,7 +26,7 @@ def _sides(spark, folder):
         F.lit("seed").alias("createdby"),
         F.lit("seed").alias("lastupdatedby"),
     )
-    source = orders.filter("o_orderkey % 2 = 0").select(
+    source = orders.filter("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0").select(
         F.col("o_orderkey").alias("CODE"),
         F.expr("CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE 'new' END").alias("Status"),
     )
@@ -78,7 +78,7 @@ def upsert_only_changed(spark, folder):
 
 @query(
     """
-    WITH tgt AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey % 2 = 0),
+    WITH tgt AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey % 2 = 0 OR l_partkey % 3 <> 0),
     src AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS quantity, max(l_tax) AS tax
             FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY ALL)
     SELECT l_orderkey, l_linenumber, coalesce(src.quantity, 0) AS quantity,
@@ -88,7 +88,7 @@ def upsert_only_changed(spark, folder):
     """
 )
 def upsert_two_keys(spark, folder):
-    """A composite key: lines of even suppliers, and a batch of every third part's lines."""
+    """A composite key: lines of even suppliers or other parts, and a batch of every third part's lines."""
     lines = table(spark, folder, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
     totals = (
@@ -97,7 +97,7 @@ def upsert_two_keys(spark, folder):
         .agg(F.max("l_quantity").alias("quantity"), F.max("l_tax").alias("tax"))
     )
     target = (
-        lines.filter("l_suppkey % 2 = 0")
+        lines.filter("l_suppkey % 2 = 0 OR l_partkey % 3 <> 0")
         .select(*keys)
         .distinct()
         .select(

@@ -1,12 +1,14 @@
 """Drops, slices and CSV files."""
 
 import csv
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from masterloom.sources import export_csv, latest_batch, newest_file, read_drop, watermark_slice
+from masterloom import RunContext
+from masterloom.sources import export_csv, latest_batch, newest_file, read_drop, utc_text, watermark_slice
 
 T0 = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
@@ -95,7 +97,7 @@ def test_watermark_needs_a_time_zone(spark):
         watermark_slice(spark.range(1), "id", datetime(2024, 5, 1))
 
 
-VALUES = [("a,b", 'say "hi"'), ("line\nbreak", ""), (None, "plain"), ("", "ü")]
+VALUES = [("a,b", 'say "hi"'), ("line\nbreak", ""), (None, "plain"), ("", "ü"), (" H1 ", "\tx ")]
 
 
 @pytest.mark.parametrize("single", [True, False])
@@ -115,14 +117,48 @@ def test_csv_round_trip(spark, tmp_path, single):
     assert sorted(found) == sorted((a or "", b) for a, b in VALUES)
 
 
-def test_csv_form_follows_the_count(spark, tmp_path):
+def test_csv_form_is_the_callers_choice(spark, tmp_path):
     df = spark.range(10)
-    small = export_csv(df, str(tmp_path), "small.csv", max_single_rows=10)
-    large = export_csv(df, str(tmp_path), "large.csv", max_single_rows=9)
-    assert (tmp_path / "small.csv").is_file() and (tmp_path / "large.csv").is_dir()
-    assert spark.read.csv(large, header=True).count() == spark.read.csv(small, header=True).count() == 10
+    one, many = export_csv(df, str(tmp_path), "one.csv", single=True), export_csv(df, str(tmp_path), "many.csv")
+    assert (tmp_path / "one.csv").is_file() and (tmp_path / "many.csv").is_dir()
+    assert spark.read.csv(many, header=True).count() == spark.read.csv(one, header=True).count() == 10
 
 
 def test_csv_of_no_rows_has_a_header(spark, tmp_path):
-    export_csv(spark.createDataFrame([], "a string, b string"), str(tmp_path), "none.csv")
+    export_csv(spark.createDataFrame([], "a string, b string"), str(tmp_path), "none.csv", single=True)
     assert (tmp_path / "none.csv").read_text() == "a,b\n"
+
+
+def test_batch_id_does_not_follow_the_drivers_zone(spark, monkeypatch):
+    df = spark.createDataFrame([("f", datetime(2024, 5, 1, 10, tzinfo=timezone.utc))], "sourcefile string, ts timestamp")
+    found = set()
+    for zone in ("UTC", "America/New_York"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        found.add(newest_file(df, "ts").batch_id)
+    monkeypatch.undo()
+    time.tzset()
+    assert found == {"f-20240501T100000000000"}
+
+
+def test_a_text_that_is_no_timestamp_is_passed_over(spark):
+    df = spark.createDataFrame([("a", "n/a"), ("b", "2024-05-01 10:00:00"), ("c", None)], "sourcefile string, ts string")
+    assert newest_file(df, "ts").name == "b"
+    assert newest_file(df.filter("sourcefile <> 'b'"), "ts") is None
+
+
+def test_text_times_are_utc_in_any_session_zone(spark):
+    since = datetime(2024, 11, 3, 6, 30, tzinfo=timezone.utc)
+    df = spark.createDataFrame([(utc_text(since),), ("2024-11-03 06:29:59",)], "at string")
+    former = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert [r["at"] for r in watermark_slice(df, "at", since).collect()] == ["2024-11-03 06:30:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", former)
+
+
+def test_a_context_starts_as_the_sessions_user(spark):
+    ctx = RunContext.start(spark, "b1")
+    assert ctx.user == spark.sql("SELECT current_user()").first()[0] and ctx.batch_id == "b1"
+    assert abs(ctx.ts - datetime.now(timezone.utc)) < timedelta(minutes=1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import ROOT
 from masterloom.context import RunContext
 from masterloom.plans import HotelRun, HotelTables, hotel_spec
+from masterloom.plans.hotel import RunSummary
 from masterloom.sources import DuplicateKeyError, replace_contents
 
 T0 = datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc)
@@ -94,19 +95,29 @@ def world(spark, database, tmp_path):
     write_hotels(spark, hotels, "hotel_1.parquet", [FIRST, SECOND, hotel("  ", "No id", T0)])
     write_brands(spark, brands, "brand_1.parquet", [("b1", "Inns", T0), ("b1", "Old inns", T0 - timedelta(1))])
 
-    def run(ts, **options):
+    def run(ts, stop=False, **options):
         tables = HotelTables(
             *[f"{database}.{t}" for t in ("bronze_hotel", "bronze_brand", "silver", "gold")],
             gold_columns=options.pop("gold_columns", ()),
             buckets=options.pop("buckets", 0),
         )
-        job = HotelRun(spark, RunContext("etl", ts), country, brand, plan, tables, **options)
+        job = HotelRun(spark, RunContext("etl", ts), country, brand, plan, tables, single_export=True, **options)
+        if stop:
+            run_until_silver(job, hotels, brands)
+            return None
         return job.run(str(hotels), str(brands), str(tmp_path / "out"))
 
     run.hotels, run.brands, run.out, run.database = hotels, brands, tmp_path / "out", database
     return run
 
 
+def run_until_silver(job, hotels, brands):
+    newest = {path: job._newest(str(path)) for path in (hotels, brands)}
+    job.bronze(str(hotels), newest[hotels], job.tables.bronze_hotel)
+    job.bronze(str(brands), newest[brands], job.tables.bronze_brand)
+    job.silver(newest[hotels].batch_id, RunSummary("stopped"))
+
+
 def read_csv(world, name):
     with open(world.out / name, newline="") as file:
         return list(csv.reader(file))
@@ -237,3 +248,17 @@ def test_gold_with_the_whole_column_list(spark, world):
     assert table.columns == columns
     assert {f.dataType.simpleString() for f in table.schema} == {"string"}
     assert table.filter(F.col("AccountsEmail").isNotNull()).isEmpty()
+
+
+@pytest.mark.parametrize("before", [False, True])
+def test_a_run_that_died_after_silver_reaches_gold_in_the_next(spark, world, before):
+    if before:
+        world(T0 - timedelta(days=1), only_if_changed=True)
+        write_hotels(spark, world.hotels, "hotel_2.parquet", [{**FIRST, "name": "Inn renamed", "lastmodifieddate": T0 + timedelta(seconds=1)}])
+    world(T0, only_if_changed=True, stop=True)
+    summary = world(T0 + timedelta(hours=1), only_if_changed=True)
+    assert summary.status == "done"
+    found = gold(spark, world)
+    assert sorted(found) == ["SFH1", "SFH2"]
+    assert found["SFH1"]["Name"] == ("Inn renamed" if before else "Inn")
+    assert ["SFH1"] in read_csv(world, hotel_spec.EXPORT_CODES_FILE)[1:]

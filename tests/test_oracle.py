@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as contract
+import registry
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -33,13 +33,13 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert registry.QUERIES.keys() == registry.ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", registry.QUERIES)
 def test_query_equals_sql(spark, duck, name):
-    got = canonical(contract.queries()[name](spark, FOLDER).toPandas())
-    want = canonical(duck.sql(contract.oracle_sql()[name]).df())
+    got = canonical(registry.QUERIES[name](spark, FOLDER).toPandas())
+    want = canonical(duck.sql(registry.ORACLE[name]).df())
     assert list(got.columns) == list(want.columns)
     assert len(want) > 0
     pd.testing.assert_frame_equal(got, want)

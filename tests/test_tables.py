@@ -6,7 +6,7 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from masterloom.context import RunContext
-from masterloom.operators.schema import string_schema
+from masterloom.operators.schema import SchemaDriftError, string_schema
 from masterloom.sources import tables, watermark_slice
 from masterloom.sources.tables import DuplicateKeyError
 
@@ -176,3 +176,66 @@ def test_row_level_merge_is_well_formed(spark, database):
             tables.merge_rows(source, name, ["Code"], stamp, stamp, only_if_changed)
         assert refused.value.getCondition().startswith("UNSUPPORTED_FEATURE")
     assert tables.table_provider(spark, name) == "parquet"
+
+
+def test_a_load_that_the_table_cannot_hold_is_refused(spark, database):
+    name = f"{database}.bronze"
+    first = spark.createDataFrame([("1", 2, "f-1")], "id string, n int, batch_id string")
+    tables.append_evolving(first, name, "f-1")
+    with pytest.raises(SchemaDriftError, match="n: double to int"):
+        tables.append_evolving(spark.createDataFrame([("2", 2.75, "f-2")], "id string, n double, batch_id string"), name, "f-2")
+    assert rows(spark.table(name)) == [("1", 2, "f-1")]
+    with pytest.raises(SchemaDriftError):
+        source = spark.createDataFrame([("1", 2.75)], "id string, n double")
+        tables.merge_table(source, _table(spark, database, "narrow", "id string, n int", [("1", 2)]), ["id"])
+
+
+def _table(spark, database, label, schema, values, **layout):
+    name = f"{database}.{label}"
+    df = spark.createDataFrame(values, schema)
+    tables.ensure_table(spark, name, df.schema, **layout)
+    df.select(*spark.table(name).columns).write.insertInto(name)
+    return name
+
+
+def test_merge_writes_only_touched_partitions(spark, database):
+    values = [(str(i), f"p{i % 4}", i) for i in range(40)] + [("n", None, 1)]
+    name = _table(spark, database, "parts", "id string, part string, n int", values, partition_by=["part"])
+
+    def files():
+        return {r["f"] for r in spark.table(name).select(F.input_file_name().alias("f")).distinct().collect()}
+
+    before = files()
+    # A key stays in its partition, one moves, one is new in a new partition.
+    batch = spark.createDataFrame([("0", "p0", 100), ("4", "p1", 104), ("new", "p9", 1)], "id string, part string, n int")
+    tables.merge_table(batch, name, ["id"])
+    got = {r["id"]: (r["part"], r["n"]) for r in spark.table(name).collect()}
+    want = {i: (p, n) for i, p, n in values} | {"0": ("p0", 100), "4": ("p1", 104), "new": ("p9", 1)}
+    assert got == want and spark.table(name).count() == 42
+    untouched = {f for f in before if "part=p2" in f or "part=p3" in f or "HIVE_DEFAULT" in f}
+    assert untouched and untouched <= files()
+    # The last rows leave a partition; a batch without the partition column keeps it.
+    tables.merge_table(spark.createDataFrame([("new", "p0", 2)], "id string, part string, n int"), name, ["id"])
+    assert spark.table(name).filter("part = 'p9'").isEmpty()
+    tables.merge_table(spark.createDataFrame([("1", -1), ("later", 5)], "id string, n int"), name, ["id"])
+    found = {r["id"]: (r["part"], r["n"]) for r in spark.table(name).collect()}
+    assert found["1"] == ("p1", -1) and found["later"] == (None, 5) and found["n"] == (None, 1)
+
+
+def test_merge_into_orc_and_refusal_of_other_formats(spark, database):
+    name = _table(spark, database, "orcs", "id string, n int", [("1", 1), ("2", 2)], provider="orc")
+    tables.merge_table(spark.createDataFrame([("2", 20), ("3", 30)], "id string, n int"), name, ["id"])
+    assert rows(spark.table(name)) == [("1", 1), ("2", 20), ("3", 30)]
+    name = _table(spark, database, "texts", "id string, n int", [("1", 1)], provider="csv")
+    with pytest.raises(ValueError, match="csv table"):
+        tables.merge_table(spark.createDataFrame([("1", 2)], "id string, n int"), name, ["id"])
+    assert rows(spark.table(name)) == [("1", 1)]
+
+
+def test_a_bucketed_merge_writes_few_files(spark, database):
+    values = [(str(i), i) for i in range(2000)]
+    name = _table(spark, database, "buckets", "id string, n int", values, bucket_by=["id"], buckets=16)
+    batch = spark.createDataFrame([(str(i), -i) for i in range(0, 4000, 3)], "id string, n int").repartition(8)
+    tables.merge_table(batch, name, ["id"])
+    assert spark.table(name).select(F.input_file_name()).distinct().count() <= 32
+    assert spark.table(name).count() == len({str(i) for i in range(2000)} | {str(i) for i in range(0, 4000, 3)})
