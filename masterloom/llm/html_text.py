@@ -337,7 +337,8 @@ class Renderer:
                 if todo:
                     self._leave(element)
             elif isinstance(child, str):
-                if self.visible[-1]:
+                closed = element.tag == "details" and "open" not in element.attributes
+                if self.visible[-1] and not closed:
                     (self.writer.exact if self.exact[-1] else self.writer.text)(child)
             elif self._enter(child, element):
                 todo.append((child, iter(child.children)))
