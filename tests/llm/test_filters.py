@@ -1,0 +1,235 @@
+"""HTML, quality rules, URLs and licenses."""
+
+import random
+import time
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from masterloom.llm import html_text, license_scan, quality_forest, url_cascade
+
+# --- HTML
+
+
+CASES = {
+    "<p>one <b>two</b>\nthree<p>four<br>five": "one two three\n\nfour\nfive",
+    "<div>a</div><div>b</div>c": "a\nb\nc",
+    "<ul><li>a<li>b<ul><li>c</ul><li>d</ul>": "- a\n- b\n  - c\n- d",
+    "<ol start=3><li>x<li value=7>y<li>z</ol>": "3. x\n7. y\n8. z",
+    "<ol reversed><li>x<li>y</ol>": "2. x\n1. y",
+    "<table><tr><th>Name<th align=right>N<tr><td>foo<td align=right>10<tr><td>x<td align=right>2</table>": "Name |  N\nfoo  | 10\nx    |  2",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c</table>": "a | b\n  | c",
+    "<table>stray<tr><td>a</table>": "stray\n\na",
+    "<table><td>x<td>y</table>": "x | y",
+    "<pre>  keep\n   this</pre>": "  keep\n   this",
+    "<blockquote>q<p>r</blockquote>": "> q\n\n> r",
+    "<head><title>t</title></head>seen<script>if (a < b) '</p>'</script>": "seen",
+    "<style>.ad, #x {display:none}</style><p class='ad big'>no<p id=x>no<p>yes": "yes",
+    "<p hidden>no<p style='display: none'>no<p style='visibility:hidden'>no<b style='visibility:visible'>yes</b>": "yes",
+    "<details><summary>s</summary>no</details><details open><summary>t</summary>yes</details>": "s\nt\nyes",
+    "a &lt;b&gt; &amp; &#x41;&nbsp;c": "a <b> & A\u00a0c",
+    "<!-- no --><![CDATA[no]]>a<!doctype html>b</nosuch>": "ab",
+    "a</p>b": "a\n\nb",
+    "<textarea> t </textarea><input type=hidden value=no>": " t",
+    "<dl><dt>t<dd>d</dl>": "t\n  d",
+}
+
+
+@pytest.mark.parametrize("page", CASES)
+def test_rendering(page):
+    assert html_text.page_text(page) == CASES[page]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["", "<", "<a", '<a href="x', "</", "<p", "<!--", "<style>", "<div>" * 100_000 + "x", "<b><p>" * 30_000, "<table><tr><td>" * 3_000,
+     "<li>" * 50_000, "<" * 100_000, "<table><tr><td rowspan=999999999 colspan=99999>x<tr><td>y", "<a b='" * 20_000, "&" * 100_000],
+)
+def test_broken_and_deep_pages_end_soon(page):
+    begin = time.monotonic()
+    html_text.page_text(page)
+    assert time.monotonic() - begin < 20
+
+
+def test_generated_text_comes_back():
+    rng = random.Random(1)
+    for _ in range(50):
+        paragraphs = [" ".join(rng.choice("ab cd ef gh".split()) for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 8))]
+        page = "<html><body>" + "".join(f"<p>{p.replace(' ', rng.choice([' ', chr(10), '  ']))}{rng.choice(['</p>', ''])}" for p in paragraphs)
+        assert html_text.page_text(page) == "\n\n".join(paragraphs)
+
+
+def test_pages_with_odd_rows(spark):
+    pages = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (2, "<p>a", None), (None, "<p>a", "y")], "page_id long, html string, text string")
+    out = html_text.extract_text(pages)
+    assert out.columns == ["page_id", "text"]
+    assert sorted(((r["page_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, None), (2, ""), (2, "a"), (None, "a")], key=str)
+    assert html_text.extract_text(pages.limit(0)).count() == 0
+
+
+# --- quality rules
+
+
+def brute_statistics(text):
+    text = text or ""
+    words = [w for w in text.replace("\x0b", " ").replace("\x0c", " ").replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ") if w]
+    triples = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) for k in range(3) if triples[tuple(words[i : i + 3])] > 1}
+    lines = [x for x in text.split("\n") if x.strip(" \t\r\x0b\x0c")]
+    again = sum(x in lines[:i] for i, x in enumerate(lines))
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(covered), len(lines), sum("A" <= c <= "Z" for c in text))
+
+
+def test_statistics_equal_the_definition():
+    rng = random.Random(2)
+    texts = ["", None, "a b c a b c", "x\n\nx\nx", "é É #<|\u00a0z", "\x0b \x0c", "a a a a", "one two"]
+    texts += ["".join(rng.choice(["a", "b", "ab", " ", "\n", "\t", "É", "#"]) for _ in range(rng.randrange(120))) for _ in range(300)]
+    assert [quality_forest.text_statistics(t) for t in texts] == [brute_statistics(t) for t in texts]
+    assert quality_forest.text_statistics("w " * 1_000_000)[4] == 1_000_000
+
+
+def good_and_bad(n):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    texts, labels = [], []
+    for i in range(n):
+        words = [word() for _ in range(rng.randint(60, 200))]
+        if i % 5 == 0:
+            words = [w + rng.choice(["###", "$$$", "|"]) for w in words]
+        texts.append("\n".join(" ".join(words[k : k + 12]) for k in range(0, len(words), 12)))
+        labels.append(int(i % 5 != 0))
+    return texts, labels
+
+
+def test_held_out_accuracy_and_odd_rows(spark):
+    texts, labels = good_and_bad(400)
+    texts += ["", None, "too short", "same three words " * 40]
+    rows = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "doc_id long, text string, score double")
+    marks = [(i, labels[i], 0) for i in range(200)] + [(5, labels[5], 0), (None, 1, 0), (7, None, 0), (9999, 0, 0)]
+    marks = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    stats = quality_forest.statistics_table(rows)
+    model = quality_forest.fit(stats, marks)
+    verdict = {r["id"]: r for r in quality_forest.judged(stats, model).collect()}
+    held_out = range(200, 400)
+    assert np.mean([verdict[i]["kept"] == bool(labels[i]) for i in held_out]) > 0.97
+    assert all(verdict[i]["base_failed"] and not verdict[i]["kept"] for i in range(400, 404))
+    left = quality_forest.keep_good(rows, model)
+    assert left.columns == rows.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, v in verdict.items() if v["kept"])
+    assert quality_forest.keep_good(rows.limit(0), model).count() == 0
+
+
+def test_without_labels_the_base_rules_decide(spark):
+    rows = spark.createDataFrame([(1, "w%d " % 1 + " ".join(f"v{i}" for i in range(60))), (2, "short")], "doc_id long, text string")
+    stats = quality_forest.statistics_table(rows)
+    model = quality_forest.fit(stats, spark.createDataFrame([], "doc_id long, quality int"))
+    assert {r["id"]: r["kept"] for r in quality_forest.judged(stats, model).collect()} == {1: True, 2: False}
+    assert quality_forest.keep_good(rows, model).count() == 1
+
+
+def test_thresholds():
+    counts = np.zeros((2, 11))
+    counts[1, 2], counts[0, 7] = 5, 5
+    assert quality_forest.best_threshold(counts) == 7 / quality_forest.STEPS
+    counts[0] = 0
+    assert quality_forest.best_threshold(counts) == 3 / quality_forest.STEPS
+
+
+# --- URLs
+
+
+RULES = [url_cascade.Rule("block", "example.com", "/en/"), url_cascade.Rule("allow", "www.example.com", "/en/"), url_cascade.Rule("allow", "com")]
+
+
+def test_rules_and_odd_urls(spark):
+    urls = [
+        ("https://WWW.Example.com/en/x?y#z", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
+        ("http://m.example.com/en/", "m.example.com", "/en/", "example.com/en/", "block"),
+        ("http://notexample.com/en/", "notexample.com", "/en/", "com/", "allow"),
+        ("http://example.com/EN/", "example.com", "/EN/", "com/", "allow"),
+        ("http://example.com", "example.com", "", None, "allow"),
+        ("x://Ä.bad.org/a\n://b", "Ä.bad.org", "/a\n://b", None, "block"),
+        ("ftp://bad.org?x", "bad.org", "", None, "block"),
+        ("http://worse.bad.org.uk/", "worse.bad.org.uk", "/", None, "allow"),
+        ("no scheme", "", "", None, "allow"),
+        ("", "", "", None, "allow"),
+        (None, "", "", None, "allow"),
+        ("http:///p", "", "/p", None, "allow"),
+    ]
+    pages = spark.createDataFrame([(i, u[0], "mine") for i, u in enumerate(urls + urls[:2])], "page_id long, url string, host string")
+    listed = spark.createDataFrame([("bad.org",), ("bad.org",), ("absent.net",), (None,), ("",)], "key string")
+    out = sorted(url_cascade.filter_urls(pages, RULES, listed).collect(), key=lambda r: r["page_id"])
+    assert [(r["host"], r["path"], r["rule"], r["verdict"]) for r in out] == [u[1:] for u in urls + urls[:2]]
+    nothing = spark.createDataFrame([], "key string")
+    assert url_cascade.filter_urls(pages, RULES, nothing).filter("host = 'bad.org'").first()["verdict"] == "allow"
+    assert url_cascade.filter_urls(pages.limit(0), RULES, listed).count() == 0
+
+
+@pytest.mark.parametrize("listed_share", [0.02, 0.5, 0.97])
+def test_the_cascade_is_exact_over_its_universe(spark, listed_share):
+    rng = random.Random(4)
+    keys = [f"host{i}.example.org" for i in range(4000)]
+    chosen = {k for k in keys if rng.random() < listed_share}
+    universe = spark.createDataFrame([(k,) for k in keys], "key string")
+    levels = url_cascade.build_cascade(universe, spark.createDataFrame([(k,) for k in chosen], "key string"))
+    assert len(levels) >= 3
+    hashed = universe.select("key", url_cascade.key_hashes(F.col("key")).alias("h")).collect()
+    h1, h2 = (np.array([r["h"][x] for r in hashed], np.int64) for x in ("h1", "h2"))
+    found = url_cascade.passed(levels, h1, h2) % 2 == 1
+    assert {r["key"] for r, listed in zip(hashed, found) if listed} == chosen
+    if listed_share == 0.02:  # far smaller than the keys
+        assert sum(level.bits for level in levels) < 24 * len(chosen)
+
+
+def test_a_list_too_large_is_joined(spark, monkeypatch):
+    monkeypatch.setattr(url_cascade, "MOST_BYTES", 0)
+    pages = spark.createDataFrame([(1, "http://a.bad.org/"), (2, "http://good.org/"), (3, None)], "page_id long, url string")
+    out = url_cascade.filter_urls(pages, RULES, spark.createDataFrame([("bad.org",)], "key string"))
+    assert {r["page_id"]: r["verdict"] for r in out.collect()} == {1: "block", 2: "allow", 3: "allow"}
+
+
+# --- licenses
+
+
+def test_licenses_of_odd_rows(spark):
+    mit = license_scan.TEMPLATES["MIT"][1]
+    wrapped = "\n".join(mit[i : i + 80] for i in range(0, len(mit), 80))
+    texts = [
+        (1, "Some text.\nReleased under the MIT License."),
+        (2, "released under THE mit license!"),
+        (3, "Code\n\n" + wrapped + "\n\nmore text"),
+        (4, None), (5, ""), (6, "license"), (7, "Nothing to see in this line of words at all."),
+        (8, "All rights reserved.\nLicensed under CC BY-NC 4.0."),
+        (None, "Licensed under the Apache License, Version 2.0."),
+        (9, "word " * 200_000),
+    ]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, license string")
+    got = {r["id"]: (r["license"], r["kind"], r["number"], r["n_hits"]) for r in license_scan.license_of_documents(docs).collect()}
+    assert got[1][:3] == ("MIT", "line", 2) and got[2] == ("MIT", "line", 1, 1)
+    assert got[3][:3] == ("MIT", "block", 2)
+    assert all(got[i] == (None, None, None, 0) for i in (4, 5, 6, 7, 9))
+    assert got[8][3] >= 2 and got[None][0] == "Apache-2.0"
+    assert license_scan.license_of_documents(docs.limit(0)).count() == 0
+
+
+def test_size_bounds_drop_no_match(spark):
+    rng = random.Random(6)
+    words = "alpha beta gamma delta".split()
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    templates = {f"t{i}": (" ".join(rng.choice(words) for _ in range(rng.randint(2, 9))),) for i in range(8)}
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+
+    def grams(text):
+        w = text.split()
+        return set(zip(w, w[1:]))
+
+    want = {}
+    for i, line in enumerate(lines):
+        dice = [(2 * len(grams(line) & grams(t)) / max(len(grams(line)) + len(grams(t)), 1), n) for n, (t,) in templates.items()]
+        best = max(dice, key=lambda d: (d[0], [-ord(c) for c in d[1]]))
+        if best[0] >= 0.5:
+            want[i] = (best[1], round(best[0], 9))
+    got = {r["id"]: (r["license"], round(r["dice"], 9)) for r in license_scan.scan(docs, templates=templates, threshold=0.5).collect()}
+    assert got == want and len(want) > 20
