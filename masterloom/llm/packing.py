@@ -17,6 +17,7 @@ rows are packed as often as they occur.  A null id is an id like others.  Extra
 are not read.
 """
 
+import os
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -25,18 +26,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from masterloom.llm.common import column, shuffle_partitions, slices, stage
 
 CAPACITY = 4096
 END = 1
 #: Bytes of text that a task tokenizes at once.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 #: Words whose ids a task remembers; the memory starts anew when they are this many.
-REMEMBERED = 400_000
-#: Words that go to the encoder as one text.
+REMEMBERED = 300_000
+#: Words that go to the encoder as one text, and texts that go to it at once: what it
+#: returns for a token takes far more memory than the token's id.
 JOINED = 64
+AT_ONCE = 128
 #: ASCII punctuation without the apostrophe, which may begin a word of its own.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 MARKS = r"^(?s:.*?)([!-&(-/:-@\[-`{-~]*)$"
@@ -57,6 +60,8 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, end_of_word: str = "</w>") -> None:
+        # One thread: a task has one core, and each further thread keeps memory of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
@@ -71,18 +76,19 @@ class WordTokenizer:
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of parts that each end in one end-of-word token and hold no other."""
-        lines = [" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
-        flat = [np.array(e.ids, np.uint32) for e in self.encoder.encode_batch_fast(lines, add_special_tokens=False)]
-        ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        ids, _ = self._alone([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
         ends = np.flatnonzero(self.is_end[ids]) + 1
         if len(ends) != len(words):
             return self._alone(words)
         return ids, np.diff(ends, prepend=0)
 
     def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())), lengths
+        ids, lengths = [np.zeros(0, np.uint32)], [0]
+        for i in range(0, len(words), AT_ONCE):
+            for encoding in self.encoder.encode_batch_fast(words[i : i + AT_ONCE], add_special_tokens=False):
+                ids.append(np.array(encoding.ids, np.uint32))
+                lengths.append(len(ids[-1]))
+        return np.concatenate(ids), np.array(lengths[1:], np.int64)
 
     def _learn(self, words: list[str], encode) -> None:
         new = [w for w in words if w not in self.places]
@@ -95,7 +101,11 @@ class WordTokenizer:
         self.ids = np.concatenate([self.ids, ids])
 
     def _places(self, parts: pa.Array) -> np.ndarray:
+        """The place of each part in the memory; parts not yet there are encoded."""
         coded = parts.dictionary_encode()
+        plain = pc.match_substring_regex(coded.dictionary, LETTERS)
+        self._learn(pc.filter(coded.dictionary, plain).to_pylist(), self._together)
+        self._learn(pc.filter(coded.dictionary, pc.invert(plain)).to_pylist(), self._alone)
         found = np.fromiter(map(self.places.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
         return found[coded.indices.to_numpy(zero_copy_only=False)]
 
@@ -107,9 +117,6 @@ class WordTokenizer:
         plain = pc.match_substring_regex(letters, LETTERS)
         marks = pc.if_else(plain, pc.replace_substring_regex(words, MARKS, "\\1"), "")
         letters = pc.if_else(plain, pc.utf8_lower(letters), words)
-        self._learn(pc.unique(pc.filter(letters, plain)).to_pylist(), self._together)
-        self._learn(pc.unique(marks).to_pylist(), self._alone)
-        self._learn(pc.filter(words, pc.invert(plain)).to_pylist(), self._alone)
         parts = np.stack([self._places(letters), self._places(marks)], 1).reshape(-1)
         ids, _ = _gather(self.ids, self.starts[parts], self.lengths[parts])
         lengths = self.lengths[parts].reshape(-1, 2).sum(1)
@@ -166,7 +173,7 @@ def token_pieces(
     ]
     schema = StructType(fields)
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
     return rows.mapInArrow(cut, schema)
 
 
