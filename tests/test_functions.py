@@ -72,12 +72,19 @@ def test_concat_phone_parts(spark):
         ("1", None, "5.551234567E9"),
         ("+1", "x", "99999999999999999999.0"),
         ("1e2", "1.", "007"),
+        ("617.5551234", "55.0", "1.5"),
     ]
-    want = ["104125551234567", "", "15551234567", "+1x99999999999999999999.0", "1001007"]
+    want = ["104125551234567", "", "15551234567", "+1x99999999999999999999.0", "1001007", "617.5551234551.5"]
     expression = concat_phone_parts("a", "b", "c")
     assert column(spark, values, expression, "a string, b string, c string") == want
 
 
+def test_a_composed_number_carries_its_code(spark):
+    values = [("49.0", "30", "123456"), ("+49", "30", "1"), ("", "30", "1"), (None, None, None), ("x", "1", "2")]
+    expression = concat_phone_parts("b", "c", country="a")
+    assert column(spark, values, expression, "a string, b string, c string") == ["+4930123456", "+49301", "301", "", "12"]
+
+
 def test_concat_phone_parts_of_numbers(spark):
     values = [(1, 5551234567.0), (None, 12.0)]
     expression = concat_phone_parts("a", "b")
