@@ -33,13 +33,13 @@ from masterloom.llm.common import column, shuffle_partitions, slices, stage
 CAPACITY = 4096
 END = 1
 #: Bytes of text that a task tokenizes at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 #: Words whose ids a task remembers; the memory starts anew when they are this many.
 REMEMBERED = 300_000
 #: Words that go to the encoder as one text, and texts that go to it at once: what it
 #: returns for a token takes far more memory than the token's id.
 JOINED = 64
-AT_ONCE = 128
+AT_ONCE = 64
 #: ASCII punctuation without the apostrophe, which may begin a word of its own.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 MARKS = r"^(?s:.*?)([!-&(-/:-@\[-`{-~]*)$"
@@ -165,6 +165,8 @@ def token_pieces(
             for a, b in slices(pc.binary_length(texts).to_numpy(zero_copy_only=False), TEXT_BYTES):
                 ids, bounds = encoder.encode(texts[a:b])
                 yield _pieces(batch.column("id")[a:b], ids, bounds, capacity, end, with_ids)
+                # What the last slice took goes back before the next one, and before other tasks run.
+                pa.default_memory_pool().release_unused()
 
     fields = [
         StructField("id", rows.schema["id"].dataType),
