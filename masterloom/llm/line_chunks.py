@@ -17,6 +17,10 @@ Null texts stay null and empty ones empty.  A text whose chunks all go becomes e
 row stays.  Rows with the same id and text are one document.  Documents with one id each
 keep the first occurrence within them.  A null id comes after all others; where only null
 ids have a chunk, none is removed but within a document.  Extra columns are kept.
+
+A chunk at the edge of a repeated passage holds foreign lines too, and a short passage has
+no chunk of its own.  ``drop_repeated_passages`` takes passages out whole: its keys are
+pairs of neighbouring lines, and its minimum is for the run of repeated pairs.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -125,6 +129,113 @@ def drop_repeated_chunks(
     return rows.select(*columns)
 
 
+def lines_with_words(rows: DataFrame, text: str, into: str, units: str | None = None) -> DataFrame:
+    """``rows`` with an array of the text's lines that have a word; the first line always counts.
+
+    ``units`` names an array to add of these lines with the blank ones behind each; joined
+    by line ends they are the text.
+    """
+    lines, starts = fresh(rows, "all_lines"), fresh(rows, "starts")
+    rows = rows.withColumn(lines, F.split(column(text), "\n", -1))
+    places = F.transform(lines, lambda line, i: F.when(line.rlike(r"[^\x20\x09-\x0D]") | (i == 0), i))
+    rows = rows.withColumn(starts, F.filter(places, lambda i: i.isNotNull()))
+    rows = rows.withColumn(into, F.transform(starts, lambda i: F.get(lines, i)))
+    if units:
+        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(lines)))
+        pairs = F.arrays_zip(F.col(starts).alias("a"), ends.alias("b"))
+        rows = rows.withColumn(units, F.transform(pairs, lambda p: F.array_join(F.slice(lines, p["a"] + 1, p["b"] - p["a"]), "\n")))
+    return rows.drop(lines, starts)
+
+
+def _pairs(lines: str) -> Column:
+    """Each line with the next one."""
+    most = F.greatest(F.size(lines) - 1, F.lit(0))
+    return F.zip_with(F.slice(lines, 1, most), F.slice(lines, 2, most), lambda a, b: F.concat(a, F.lit("\n"), b))
+
+
+def drop_repeated_passages(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_lines: int = MIN_LINES,
+    min_chars: int = MIN_CHARS,
+) -> DataFrame:
+    """``docs`` with repeated passages of several lines taken out of the text, from their first line to their last.
+
+    Two neighbouring lines are a pair; blank lines between them do not count.  A pair
+    occurs again if a document with a smaller id has it, or the same document further up
+    and not in the line before.  Neighbouring lines of such pairs form a run, which goes
+    with the blank lines behind them if it has ``min_lines`` lines with a word and
+    ``min_chars`` characters.  Every line that goes stays where it is found first.
+
+    Pairs are found by a 64-bit hash and compared byte by byte.  What is shuffled: hashes
+    of all pairs twice, the documents once to read the first ones of repeated pairs and
+    once to take runs out, and the repeated pairs.
+    """
+    lines, units, verdicts, covered, print_ = (fresh(docs, stem) for stem in ("lines", "units", "verdicts", "covered", "print"))
+    key = column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("print")
+    texts = docs.filter(column(text_col).isNotNull()).select(*key, column(text_col).alias("text"))
+    placed = lines_with_words(texts, "text", "lines").withColumn("pairs", _pairs("lines"))
+    placed = placed.withColumn("marks", F.array_sort(F.transform("pairs", lambda p, k: F.struct(F.xxhash64(p).alias("hash"), k.alias("k")))))
+    # Sorted by hash, the first of a document is behind another hash.  The second one of
+    # three equal lines shares a line with the first one, so it counts as that.
+    none = F.array(F.lit(None).cast("struct<hash:bigint,k:int>"))
+    back = lambda n: F.slice(F.concat(*[none] * n, F.col("marks")), 1, F.size("marks"))
+    before = F.arrays_zip(F.col("marks").alias("m"), back(1).alias("p"), back(2).alias("q"))
+    new = lambda m, p: ~F.coalesce(m["hash"] == p["hash"], F.lit(False))
+    entry = F.transform(
+        before,
+        lambda b: F.struct(
+            b["m"]["hash"].alias("hash"),
+            b["m"]["k"].alias("k"),
+            (new(b["m"], b["p"]) | (new(b["p"], b["q"]) & (b["m"]["k"] == b["p"]["k"] + 1))).alias("early"),
+        ),
+    )
+    found = placed.select("id", "print", F.explode_outer(entry).alias("e")).select("id", "print", "e.*").filter("hash IS NOT NULL")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "print", "k")).alias("first")
+    repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1").select("hash", "first.*")
+    wanted = repeated.groupBy(F.col("id").alias("d_id"), F.col("print").alias("d_print")).agg(F.collect_list(F.struct("k", "hash")).alias("wanted"))
+    read = texts.toDF("f_id", "f_print", "text")
+    read = read.join(wanted, F.col("f_id").eqNullSafe(F.col("d_id")) & (F.col("f_print") == F.col("d_print")))
+    read = lines_with_words(read.select("f_id", "text", "wanted"), "text", "lines").withColumn("pairs", _pairs("lines"))
+    read = read.select("f_id", "pairs", F.explode_outer("wanted").alias("w")).select("f_id", "w.hash", F.get("pairs", F.col("w.k")).alias("again"))
+    read = read.groupBy(F.col("hash").alias("r_hash")).agg(F.min("again").alias("again"), F.min("f_id").alias("first"))
+    goes = ~(F.col("id").eqNullSafe(F.col("first")) & F.col("early"))
+    hits = found.join(read, F.col("hash") == F.col("r_hash")).filter(goes)
+    per_document = hits.groupBy(F.col("id").alias("d_id"), F.col("print").alias("d_print")).agg(F.collect_list(F.struct("k", "again")).alias(verdicts))
+
+    rows = docs.withColumn(print_, F.xxhash64(column(text_col)))
+    rows = rows.join(per_document, column(id_col).eqNullSafe(F.col("d_id")) & (F.col(print_) == F.col("d_print")), "left")
+    rows = rows.drop("d_id", "d_print", print_)
+    hit_text = fresh(rows, "hit_text")
+    rows = rows.withColumn(hit_text, F.when(F.col(verdicts).isNotNull(), column(text_col)))
+    rows = lines_with_words(rows, hit_text, lines, units)
+    # One entry without a pair for each line, and the hits behind their line's: a pair goes
+    # if its bytes are those of the first one.
+    empty = F.transform(lines, lambda line, k: F.struct(k.alias("k"), F.lit(None).cast("string").alias("again")))
+    rows = rows.withColumn(verdicts, F.array_sort(F.concat(empty, F.col(verdicts))))
+    follows = F.slice(F.concat(F.col(verdicts), F.array(F.lit(None).cast("struct<k:int,again:string>"))), 2, F.size(verdicts))
+    again = F.zip_with(verdicts, follows, lambda v, f: F.struct(v["again"].isNull().alias("own"), F.when(v["k"] == f["k"], f["again"]).alias("again")))
+    rows = rows.withColumn(verdicts, F.transform(F.filter(again, lambda v: v["own"]), lambda v: v["again"]))
+    rows = rows.withColumn(verdicts, F.zip_with(verdicts, F.concat(_pairs(lines), F.array(F.lit(None).cast("string"))), lambda a, p: F.coalesce(a == p, F.lit(False))))
+    up = F.concat(F.array(F.lit(False)), F.slice(verdicts, 1, F.size(verdicts) - 1))
+    rows = rows.withColumn(covered, F.zip_with(verdicts, up, lambda a, b: a | b))
+    # Runs lie between lines that stay; a run that is too small stays too.
+    stay = F.filter(F.transform(covered, lambda c, i: F.when(~c, i)), lambda i: i.isNotNull())
+    rows = rows.withColumn(verdicts, F.concat(F.array(F.lit(-1)), stay))
+    ends = F.concat(F.slice(verdicts, 2, F.size(verdicts)), F.array(F.size(lines)))
+    runs = F.arrays_zip(F.col(verdicts).alias("a"), ends.alias("b"))
+
+    def left(run: Column) -> Column:
+        own = F.when(run["a"] >= 0, F.slice(units, run["a"] + 1, 1)).otherwise(F.array().cast("array<string>"))
+        inner = F.slice(units, run["a"] + 2, run["b"] - run["a"] - 1)
+        long = several_lines(F.array_join(F.slice(lines, run["a"] + 2, run["b"] - run["a"] - 1), "\n"), min_lines, min_chars)
+        return F.when(long, own).otherwise(F.concat(own, inner))
+
+    text = F.when(F.col(hit_text).isNotNull(), F.array_join(F.flatten(F.transform(runs, left)), "\n")).otherwise(column(text_col))
+    return rows.select(*[text.alias(c) if c == text_col else column(c) for c in docs.columns])
+
+
 #: The same for DuckDB, for documents with distinct ids.
 ORACLE = r"""
 WITH numbered AS (

@@ -181,6 +181,69 @@ def test_odd_rows_of_line_dedup(spark):
     assert line_chunks.drop_repeated_chunks(documents(spark, texts, ids).limit(0)).count() == 0
 
 
+def brute_passages(texts, min_chars=50):
+    """Texts by ascending id, without the runs of line pairs that occur before."""
+    seen, out = {}, []
+    for text in texts:
+        lines = text.split("\n")
+        starts = [i for i, x in enumerate(lines) if x.strip() or i == 0]
+        core = [lines[i] for i in starts]
+        pairs, own = list(zip(core, core[1:])), {}
+        for k, p in enumerate(pairs):
+            own.setdefault(p, k)
+        again = [p in seen or k > own[p] + 1 for k, p in enumerate(pairs)]
+        seen |= own
+        covered = [any(again[max(i - 1, 0) : i + 1]) for i in range(len(core))]
+        goes, i = set(), 0
+        while i < len(core):
+            j = i
+            while j < len(core) and covered[j]:
+                j += 1
+            if sum(bool(x.strip()) for x in core[i:j]) >= 2 and len("\n".join(core[i:j])) >= min_chars:
+                goes |= set(range(i, j))
+            i = max(j, i + 1)
+        ends = starts[1:] + [len(lines)]
+        out.append("\n".join(x for m, (a, b) in enumerate(zip(starts, ends)) if m not in goes for x in lines[a:b]))
+    return out
+
+
+def test_passages_go_whole(spark):
+    rng = random.Random(8)
+    line = lambda n=6: " ".join(rng.choice("alpha beta gamma delta".split()) + str(rng.randrange(1000)) for _ in range(n))
+    texts, passages = [], [[line() for _ in range(n)] for n in (2, 3, 4, 14)]
+    passages.append([line(1)[:10] for _ in range(60)])  # short lines
+    passages.append([x for _ in range(8) for x in (line(), "")][:-1])  # paragraphs
+    for passage in passages:
+        for _ in range(3):
+            texts.append("\n".join([line(), line()] + passage + [line(), line()]))
+    rows = documents(spark, texts).withColumn("lines", F.lit("mine"))
+    out = {r["doc_id"]: r for r in line_chunks.drop_repeated_passages(rows).collect()}
+    for i, text in enumerate(texts):
+        lines = text.split("\n")
+        assert out[i]["text"] == (text if i % 3 == 0 else "\n".join(lines[:2] + lines[-2:])) and out[i]["lines"] == "mine"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    words = ["", " ", "x", "the quick brown fox", "a line that has some forty characters in it", *[f"line {i} of some words" for i in range(30)]]
+    texts = ["\n".join(rng.choice(words[: rng.choice([4, 35])]) for _ in range(rng.randrange(0, 60))) for _ in range(60)]
+    texts += ["\n".join(["the quick brown fox"] * n) for n in (1, 2, 3, 4, 9)]
+    got = {r["doc_id"]: r["text"] for r in line_chunks.drop_repeated_passages(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts)
+
+
+def test_odd_rows_of_passages(spark):
+    text = "\n".join(f"the line number {i} of this text" for i in range(30))
+    ids = [4, 2, 2, None, None, 9, 10, 11, 12]
+    texts = [text, text, text, text, None, "", "\n\n\n", "one line", "short\nlines"]
+    out = line_chunks.drop_repeated_passages(documents(spark, texts, ids)).collect()
+    want = [(2, text), (2, text), (4, ""), (9, ""), (10, "\n\n\n"), (11, "one line"), (12, "short\nlines"), (None, ""), (None, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(want, key=str)
+    null_only = documents(spark, [text, "before\n" + text], [None, None])
+    assert sorted(r["text"] for r in line_chunks.drop_repeated_passages(null_only).collect()) == sorted([text, "before\n" + text])
+
+
 def test_chunks_join_to_the_text(spark):
     rng = random.Random(5)
     texts = ["\n".join("x" * rng.randrange(4) for _ in range(rng.randrange(1, 40))) for _ in range(50)] + ["", "\n", "a"]
