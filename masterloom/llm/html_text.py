@@ -63,10 +63,15 @@ _SPACES = re.compile(r"[ \t\n\r\f]+")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]+|=[^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _TAIL = re.compile(r"[\s/]*>?")
-_RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+_ABRUPT = re.compile(r"-?>")
+_COMMENT_END = re.compile(r"--!?>")
+_STYLE_TOKEN = re.compile(r"[{};]|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'", re.S)
+_STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_SCREEN = re.compile(r"@media\s*(?:(?:only\s+)?(?:screen|all))?", re.I)
 _SELECTOR = re.compile(r"[.#]?[a-zA-Z_][\w-]*")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
-_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b\s*(!\s*important)?", re.I)
 _RIGHT = re.compile(r"(?:^|;)\s*text-align\s*:\s*right\b", re.I)
 _PRE_STYLE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(?:pre|pre-wrap|break-spaces)\b", re.I)
 #: Cells are padded up to this width; wider ones run over, so a table stays linear in its text.
@@ -110,11 +115,10 @@ class Builder:
 
     def _markup(self, page: str, at: int) -> int:
         if page.startswith("<!--", at):
-            stop = page.find("-->", at + 4)
-            return len(page) if stop < 0 else stop + 3
-        if page.startswith("<![CDATA[", at):
-            stop = page.find("]]>", at)
-            return len(page) if stop < 0 else stop + 3
+            if abrupt := _ABRUPT.match(page, at + 4):
+                return abrupt.end()
+            stop = _COMMENT_END.search(page, at + 4)
+            return stop.end() if stop else len(page)
         if page.startswith(("<!", "<?"), at):
             stop = page.find(">", at)
             return len(page) if stop < 0 else stop + 1
@@ -445,15 +449,60 @@ def _number(text: str | None, otherwise: int) -> int:
 
 
 def _simple_rules(styles: list[str]) -> tuple[frozenset[str], frozenset[str]]:
-    """Tags, ``.classes`` and ``#ids`` that the page's style elements do not show."""
-    unseen, invisible = set(), set()
-    for selectors, body in (m.groups() for text in styles for m in _RULE.finditer(text)):
+    """Tags, ``.classes`` and ``#ids`` that the page's style elements do not show.
+
+    Of rules on the same selector the last one counts, but after one that is important.
+    """
+    display: dict[str, tuple[bool, bool]] = {}
+    visibility: dict[str, tuple[bool, bool]] = {}
+    for selectors, body in (rule for text in styles for rule in _plain_rules(text)):
         names = {s for s in (s.strip() for s in selectors.split(",")) if _SELECTOR.fullmatch(s)}
-        if _HIDDEN_STYLE.search(body):
-            unseen |= names
-        if (found := _VISIBILITY.search(body)) and found[1].lower() != "visible":
-            invisible |= names
-    return frozenset(unseen), frozenset(invisible)
+        for of, pattern, shown in ((display, _DISPLAY, lambda v: v != "none"), (visibility, _VISIBILITY, lambda v: v == "visible")):
+            for found in pattern.finditer(body) if names else ():
+                important = bool(found[2])
+                for name in names:
+                    if important or not of.get(name, (True, False))[1]:
+                        of[name] = shown(found[1].lower()), important
+    return tuple(frozenset(n for n, (shown, _) in of.items() if not shown) for of in (display, visibility))
+
+
+def _plain_rules(style: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations of the rules that hold on any screen.
+
+    The bodies of at-rules are left out, but those of ``@media`` for screens or for all
+    without a condition, and of ``@layer``.  A block within a rule is left out too.
+    """
+    style = _STYLE_COMMENT.sub(" ", style).replace("<!--", " ").replace("-->", " ")
+    begin, depth, skipped, head, body = 0, 0, 0, None, ""  # depth: of open groups; skipped: of what is left out
+    for token in _STYLE_TOKEN.finditer(style):
+        mark = token[0]
+        if mark not in "{};":
+            continue
+        text = style[begin : token.start()].strip()
+        if skipped:
+            skipped += (mark == "{") - (mark == "}")
+        elif mark == "{":
+            if head is not None:
+                skipped, body = 1, body + text[: text.rfind(";") + 1]
+            elif text.startswith("@"):
+                media = text[:6].lower() == "@media" and any(_SCREEN.fullmatch(f"@media {q.strip()}".strip()) for q in text[6:].split(","))
+                if media or text[:6].lower() == "@layer":
+                    depth += 1
+                else:
+                    skipped = 1
+            else:
+                head, body = text, ""
+        elif mark == "}":
+            if head is not None:
+                yield head, body + text
+                head = None
+            else:
+                depth = max(depth - 1, 0)
+        elif head is not None:
+            continue  # the declarations of a rule are kept together
+        begin = token.end()
+    if head is not None and not skipped:
+        yield head, body + style[begin:]
 
 
 def table_lines(rows: list[list[tuple[list[str], int, int, bool]]]) -> list[str]:

@@ -42,6 +42,28 @@ def test_rendering(page):
     assert html_text.page_text(page) == CASES[page]
 
 
+STYLED = {
+    "<style>@media print { .nav { display: none } }</style><p class=nav>yes": "yes",
+    "<style>@media (max-width:600px){.side{display:none}} .ad{display:none}</style><p class=side>yes<p class=ad>no": "yes",
+    "<style>@media screen{.a{display:none}} @media print, all{.b{display:none}}</style><p class=a>no<p class=b>no<p>yes": "yes",
+    "<style>@supports (x:y){@media all{.a{display:none}}} @import 'x.css'; .b{display:none}</style><p class=a>yes<p class=b>no": "yes",
+    "<style>.tab{display:none} .tab{display:block}</style><p class=tab>yes": "yes",
+    "<style>.tab{display:block}</style><style>.tab{color:red;display:none}</style><p class=tab>no<p>yes": "yes",
+    "<style>.tab{display:none !important} .tab{display:block}</style><p class=tab>no<p>yes": "yes",
+    "<style>.v{visibility:hidden} .v{visibility:visible}</style><p class=v>yes": "yes",
+    "<style>/* .a{display:none} */ .b::before{content:'}'} .c{display:none}</style><p class=a>yes<p class=c>no": "yes",
+    "<style>.a{display:none;display:flex} .b{display:flex;display:none</style><p class=a>yes<p class=b>no": "yes",
+    "<style>.a{display:none; &:hover{color:red} color:blue} .b{&:hover{display:none}}</style><p class=a>no<p class=b>yes": "yes",
+    "a<!-->b<!--->c<!-- no > --!>d": "abcd",
+    "a<![CDATA[no>b": "ab",
+}
+
+
+@pytest.mark.parametrize("page", STYLED)
+def test_rules_that_apply_and_abrupt_comments(page):
+    assert html_text.page_text(page) == STYLED[page]
+
+
 @pytest.mark.parametrize(
     "page",
     ["", "<", "<a", '<a href="x', "</", "<p", "<!--", "<style>", "<div>" * 100_000 + "x", "<b><p>" * 30_000, "<table><tr><td>" * 3_000,
