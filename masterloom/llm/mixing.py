@@ -75,15 +75,25 @@ def order_rank(chance: Column, u: Column) -> Column:
     return F.when(chance > 0, (u / (1 - u)) / (chance / (1 - chance)))
 
 
+def drawn(sizes: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
+    """Rows of sources from which documents are drawn, with their place (``rank``) and ``bin`` in the order.
+
+    Bins are ranges of the uniform number, which orders a source as the rank does: they
+    have alike many rows whatever the chance.
+    """
+    u = uniform(seed, F.col("id"))
+    rows = with_sources(sizes, targets).withColumn("rank", order_rank(F.col("chance"), u))
+    rows = rows.filter(F.col("rank").isNotNull()).withColumn("bin", F.floor(u * BINS))
+    return rows.select("source", "bin", "rank", "id", "size", "need")
+
+
 def cutoffs(sizes: DataFrame, seed: str = SEED, cycle: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """Per source its targets and ``cut``, the last place of the order that is taken (null: none).
 
     ``sizes`` (``id``, ``source``, ``size``) is read three times: pass a written table.
     """
     targets = stage(source_targets(sizes, cycle, most), "targets")
-    rows = with_sources(sizes, targets).withColumn("rank", order_rank(F.col("chance"), uniform(seed, F.col("id"))))
-    rows = rows.filter(F.col("rank").isNotNull()).withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS))
-    rows = rows.select("source", "bin", "rank", "id", "size", "need")
+    rows = drawn(sizes, targets, seed)
     earlier = Window.partitionBy("b_source").orderBy("b_bin").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         rows.groupBy(F.col("source").alias("b_source"), F.col("bin").alias("b_bin"))

@@ -88,6 +88,18 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark):
     assert mixing.mix_documents(docs.limit(0)).count() == 0
 
 
+def test_a_small_chance_spreads_over_the_bins(spark):
+    rows = spark.range(20_000).select("id", F.lit("hot").alias("source"), F.lit(1).cast("long").alias("size"))
+    targets = spark.createDataFrame([("hot", 20_000, 2.0, 0, 0.0001, 2.0)], "source string, source_size long, target double, whole long, chance double, need double")
+    drawn = mixing.drawn(rows, targets).collect()
+    assert len(drawn) == 20_000
+    most = max(Counter(r["bin"] for r in drawn).values())
+    assert most <= 20_000 / mixing.BINS * 2 + 20
+    # The bins are in the order of the ranks.
+    ordered = sorted(drawn, key=lambda r: r["rank"])
+    assert [r["bin"] for r in ordered] == sorted(r["bin"] for r in drawn)
+
+
 # --- packing
 
 
