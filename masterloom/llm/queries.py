@@ -5,11 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterloom.llm import license_scan, line_chunks, mixing, quality_forest, sharding, url_cascade
+from masterloom.llm import divergence_audit, license_scan, line_chunks, mixing, quality_forest, sharding, topk_search, url_cascade
 from masterloom.llm.embedding_dedup import embedding_components
 from masterloom.llm.html_text import extract_text
 from masterloom.llm.packing import pack_documents
 from masterloom.llm.simhash_dedup import simhash_components
+from masterloom.llm.token_alignment import alignment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,11 +45,11 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def tokenizer_path() -> str:
-    """Where the tokenizer file is, on the driver and on every executor alike."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a tokenizer's file is, on the driver and on every executor alike."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query()
@@ -153,3 +154,21 @@ def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = line_chunks.drop_repeated_chunks(docs, n_chunks="n_chunks", n_removed="n_removed")
     return found.select("doc_id", "n_chunks", "n_removed", "text")
+
+
+@query(divergence_audit.ORACLE)
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence_audit.divergences(table(spark, folder, "documents"))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    found = alignment(table(spark, folder, "documents"), *paths)
+    return found.select(F.col("id").cast("long").alias("doc_id"), *counts, F.col("digest").alias("groups_sha256"))
+
+
+@query(topk_search.ORACLE)
+def op13_maxscore_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), k=20, every=20)
