@@ -6,15 +6,17 @@ each document is expected in the mix.  The whole part is certain: every document
 that often.  The fraction is an inclusion probability p, met by order sampling: with u
 uniform per document, rank by (u / (1 - u)) / (p / (1 - p)) and take documents in that
 order until the fraction's words are reached; the last one is taken if that comes nearer.
-So a source's words miss its target by at most half a document.
+So a source's words miss its target by at most half a document.  Rows that are alike in id
+and size have one place in the order; where the words are reached among them, only as many
+of them are taken as are needed.
 
 Words before a document in the order are a running sum in two steps: over ``BINS`` ranges
 of the rank per source, then within a range, so a source with a third of all rows is
 spread.  u is a hash of seed and id: reruns agree, and any task may run again.
 
 Null and empty texts have size 0.  A null source is a source, the last one; a null id is
-an id like others.  Rows that repeat an id share u and are told apart by size; equal rows
-are interchangeable.  No rows, or no words, give targets of 0.  Extra columns are kept.
+an id like others.  Rows that repeat an id share u and are told apart by size.  No rows, or
+no words, give targets of 0.  Extra columns are kept.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -90,6 +92,7 @@ def drawn(sizes: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
 def cutoffs(sizes: DataFrame, seed: str = SEED, cycle: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """Per source its targets and ``cut``, the last place of the order that is taken (null: none).
 
+    ``most_equal`` is how many of the rows at that place are taken, null for all of them.
     ``sizes`` (``id``, ``source``, ``size``) is read three times: pass a written table.
     """
     targets = stage(source_targets(sizes, cycle, most), "targets")
@@ -102,31 +105,71 @@ def cutoffs(sizes: DataFrame, seed: str = SEED, cycle: tuple[int, ...] = (1, 2,
     )
     inside = Window.partitionBy("source", "bin").orderBy("rank", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     running = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    # Equal rows lie in one bin, one behind another.
+    equal = Window.partitionBy("source", "bin", "rank", "id", "size")
+    running = running.withColumn("nth", F.row_number().over(equal.orderBy("before")))
+    running = running.withColumn("equal", F.count(F.lit(1)).over(equal))
     running = running.join(bases, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bin") == F.col("b_bin")))
     # The document at the border is taken if at least half of it is needed.
     taken = running.filter(2 * (F.col("base") + F.col("before")) + F.col("size") <= 2 * F.col("need"))
-    cut = taken.groupBy(F.col("source").alias("c_source")).agg(F.max(F.struct("rank", "id", "size")).alias("cut"))
+    last = taken.groupBy(F.col("source").alias("c_source")).agg(F.max(F.struct("rank", "id", "size", "nth", "equal")).alias("last"))
+    cut = last.select(
+        "c_source",
+        F.struct("last.rank", "last.id", "last.size").alias("cut"),
+        F.when(F.col("last.nth") < F.col("last.equal"), F.col("last.nth").cast("long")).alias("most_equal"),
+    )
     return targets.join(cut, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
 
 
 def with_sources(rows: DataFrame, per_source: DataFrame, source: str = "source") -> DataFrame:
     """``rows`` with the columns of ``per_source`` beside them; broadcast only within the bound."""
-    per_source = per_source.withColumnRenamed("source", "s_source")
+    name = fresh(rows, "source")
+    per_source = per_source.withColumnRenamed("source", name)
     few = per_source.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     side = F.broadcast(per_source) if few else per_source
-    return rows.join(side, column(source).eqNullSafe(F.col("s_source"))).drop("s_source")
+    return rows.join(side, column(source).eqNullSafe(F.col(name))).drop(name)
 
 
 def mixed(sizes: DataFrame, seed: str = SEED, cycle: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """``sizes`` with its source's targets and ``copies``, how often the mix takes the row."""
     cuts = stage(cutoffs(sizes, seed, cycle, most), "cutoffs")
-    return with_sources(sizes, cuts).withColumn("copies", _copies(F.col("id"), F.col("size"), seed))
+    rows = with_sources(sizes, cuts).withColumn("whole", F.col("whole").cast("long"))
+    found = taken_times(rows, F.struct(*[F.col(c) for c in MIX]), F.col("id"), F.col("size"), seed, "copies")
+    return found.drop("most_equal")
+
+
+#: What a row's source says of how often it is taken.
+MIX = ["source", "whole", "chance", "cut", "most_equal"]
 
 
-def _copies(key: Column, size: Column, seed: str) -> Column:
-    rank = order_rank(F.col("chance"), uniform(seed, key))
+def taken_times(rows: DataFrame, mix: Column, key: Column, size: Column, seed: str, into: str) -> DataFrame:
+    """``rows`` with how often each is taken, by its source's ``mix``.
+
+    Rows at the place of the cut of which not all are taken, one group a source at most,
+    are written down and numbered in two steps: within the part of the table in which
+    they were read, and over those parts.  So equal rows need not meet in one task.
+    """
+    names = {n: fresh(rows, n) for n in ("mix", "place", "border", "read")}
+    rank = order_rank(F.col(names["mix"])["chance"], uniform(seed, key))
     place = F.struct(rank.alias("rank"), key.alias("id"), size.alias("size"))
-    return F.col("whole") + F.coalesce((rank.isNotNull() & (place <= F.col("cut"))).cast("long"), F.lit(0))
+    rows = rows.withColumn(names["mix"], mix).withColumn(names["place"], place)
+    mix, place = F.col(names["mix"]), F.col(names["place"])
+    reached = F.coalesce(place["rank"].isNotNull() & (place <= mix["cut"]), F.lit(False))
+    rows = rows.withColumn(names["border"], reached & mix["most_equal"].isNotNull() & place.eqNullSafe(mix["cut"]))
+    border = F.col(names["border"])
+    plain = rows.filter(~border).withColumn(into, mix["whole"] + reached.cast("long"))
+    there = stage(rows.filter(border).withColumn(names["read"], F.spark_partition_id()), "equal-rows")
+    source, read = mix["source"], F.col(names["read"])
+    inside = Window.partitionBy(source, read).orderBy(place["rank"])
+    counted = there.groupBy(source.alias("c_source"), read.alias("c_read")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("c_source").orderBy("c_read").rowsBetween(Window.unboundedPreceding, -1)
+    before, start = fresh(there, "before"), F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    bases = counted.select(F.struct("c_source", "c_read", start.alias("start")).alias(before))
+    same = source.eqNullSafe(F.col(before)["c_source"]) & (read == F.col(before)["c_read"])
+    numbered = there.withColumn(into, F.row_number().over(inside)).join(bases, same)
+    first = F.col(before)["start"] + F.col(into) <= mix["most_equal"]
+    numbered = numbered.withColumn(into, mix["whole"] + first.cast("long")).select(*plain.columns)
+    return plain.unionAll(numbered).drop(names["mix"], names["place"], names["border"])
 
 
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -140,13 +183,11 @@ def mix_documents(
 ) -> DataFrame:
     """The mix: each row of ``docs`` as often as it is taken.  The texts are not shuffled."""
     cuts = stage(cutoffs(document_sizes(docs, id_col, source_col, text_col), seed, cycle, most), "cutoffs")
-    side = cuts.select("source", F.struct("whole", "chance", "cut").alias(mix := fresh(docs, "mix")))
+    side = cuts.select("source", F.struct(*[(F.col(c).cast("long") if c == "whole" else F.col(c)).alias(c) for c in MIX]).alias(mix := fresh(docs, "mix")))
     rows = with_sources(docs, side, source_col)
-    rank = order_rank(F.col(f"{mix}.chance"), uniform(seed, column(id_col)))
-    place = F.struct(rank.alias("rank"), column(id_col).alias("id"), words_of(column(text_col)).alias("size"))
-    extra = F.coalesce((rank.isNotNull() & (place <= F.col(f"{mix}.cut"))).cast("long"), F.lit(0))
-    copy = fresh(docs, "copy")
-    times = F.array_repeat(F.lit(0), (F.col(f"{mix}.whole") + extra).cast("int"))
+    copy = fresh(rows, "copy")
+    rows = taken_times(rows, column(mix), column(id_col), words_of(column(text_col)), seed, copy)
+    times = F.array_repeat(F.lit(0), F.col(copy).cast("int"))
     return rows.withColumn(copy, F.explode(times)).drop(copy, mix)
 
 
