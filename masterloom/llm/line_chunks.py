@@ -85,7 +85,7 @@ def drop_repeated_chunks(
 
     ``n_chunks`` and ``n_removed`` name columns to add with these counts.
     """
-    chunks, print_, verdicts = (fresh(docs, stem) for stem in ("chunks", "print", "verdicts"))
+    chunks, print_, verdicts, d_id, d_print = (fresh(docs, stem) for stem in ("chunks", "print", "verdicts", "d_id", "d_print"))
     key = column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("print")
     texts = docs.filter(column(text_col).isNotNull()).select(*key, column(text_col).alias("text"))
     # The outer form: for the other one the planner infers a filter on the array, which
@@ -109,11 +109,11 @@ def drop_repeated_chunks(
         judged.groupBy("id", "print")
         .agg(F.array_sort(F.collect_list(F.struct("k", goes.alias("again")))).alias("entries"), F.count(goes).alias("n"))
         .filter("n > 0")
-        .select(F.col("id").alias("d_id"), F.col("print").alias("d_print"), F.col("entries.again").alias(verdicts))
+        .select(F.col("id").alias(d_id), F.col("print").alias(d_print), F.col("entries.again").alias(verdicts))
     )
     rows = docs.withColumn(print_, F.xxhash64(column(text_col)))
-    rows = rows.join(per_document, column(id_col).eqNullSafe(F.col("d_id")) & (F.col(print_) == F.col("d_print")), "left")
-    rows = rows.drop("d_id", "d_print", print_)
+    rows = rows.join(per_document, column(id_col).eqNullSafe(F.col(d_id)) & (F.col(print_) == F.col(d_print)), "left")
+    rows = rows.drop(d_id, d_print, print_)
     rows = line_chunks(rows, text_col, chunks)
     # A chunk goes if its bytes are those of the repeated one.
     kept = F.zip_with(chunks, verdicts, lambda chunk, again: F.when(~chunk.eqNullSafe(again), chunk))
@@ -172,7 +172,8 @@ def drop_repeated_passages(
     of all pairs twice, the documents once to read the first ones of repeated pairs and
     once to take runs out, and the repeated pairs.
     """
-    lines, units, verdicts, covered, print_ = (fresh(docs, stem) for stem in ("lines", "units", "verdicts", "covered", "print"))
+    stems = ("lines", "units", "verdicts", "covered", "print", "d_id", "d_print")
+    lines, units, verdicts, covered, print_, d_id, d_print = (fresh(docs, stem) for stem in stems)
     key = column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("print")
     texts = docs.filter(column(text_col).isNotNull()).select(*key, column(text_col).alias("text"))
     placed = lines_with_words(texts, "text", "lines").withColumn("pairs", _pairs("lines"))
@@ -194,19 +195,19 @@ def drop_repeated_passages(
     found = placed.select("id", "print", F.explode_outer(entry).alias("e")).select("id", "print", "e.*").filter("hash IS NOT NULL")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "print", "k")).alias("first")
     repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1").select("hash", "first.*")
-    wanted = repeated.groupBy(F.col("id").alias("d_id"), F.col("print").alias("d_print")).agg(F.collect_list(F.struct("k", "hash")).alias("wanted"))
+    wanted = repeated.groupBy(F.col("id").alias(d_id), F.col("print").alias(d_print)).agg(F.collect_list(F.struct("k", "hash")).alias("wanted"))
     read = texts.toDF("f_id", "f_print", "text")
-    read = read.join(wanted, F.col("f_id").eqNullSafe(F.col("d_id")) & (F.col("f_print") == F.col("d_print")))
+    read = read.join(wanted, F.col("f_id").eqNullSafe(F.col(d_id)) & (F.col("f_print") == F.col(d_print)))
     read = lines_with_words(read.select("f_id", "text", "wanted"), "text", "lines").withColumn("pairs", _pairs("lines"))
     read = read.select("f_id", "pairs", F.explode_outer("wanted").alias("w")).select("f_id", "w.hash", F.get("pairs", F.col("w.k")).alias("again"))
     read = read.groupBy(F.col("hash").alias("r_hash")).agg(F.min("again").alias("again"), F.min("f_id").alias("first"))
     goes = ~(F.col("id").eqNullSafe(F.col("first")) & F.col("early"))
     hits = found.join(read, F.col("hash") == F.col("r_hash")).filter(goes)
-    per_document = hits.groupBy(F.col("id").alias("d_id"), F.col("print").alias("d_print")).agg(F.collect_list(F.struct("k", "again")).alias(verdicts))
+    per_document = hits.groupBy(F.col("id").alias(d_id), F.col("print").alias(d_print)).agg(F.collect_list(F.struct("k", "again")).alias(verdicts))
 
     rows = docs.withColumn(print_, F.xxhash64(column(text_col)))
-    rows = rows.join(per_document, column(id_col).eqNullSafe(F.col("d_id")) & (F.col(print_) == F.col("d_print")), "left")
-    rows = rows.drop("d_id", "d_print", print_)
+    rows = rows.join(per_document, column(id_col).eqNullSafe(F.col(d_id)) & (F.col(print_) == F.col(d_print)), "left")
+    rows = rows.drop(d_id, d_print, print_)
     hit_text = fresh(rows, "hit_text")
     rows = rows.withColumn(hit_text, F.when(F.col(verdicts).isNotNull(), column(text_col)))
     rows = lines_with_words(rows, hit_text, lines, units)

@@ -257,9 +257,19 @@ def statistics_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return stage(docs.select(column(id_col).alias("id"), rule_statistics(column(text_col)).alias("stats")), "statistics")
 
 
-def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """The rows that the rules and the forest keep, with their own columns; no shuffle."""
+def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with their statistics, written to the shared folder, and the name of that column."""
     stats = fresh(docs, "stats")
-    texts = docs.withColumn(stats, rule_statistics(column(text_col)))
+    return stage(docs.withColumn(stats, rule_statistics(column(text_col))), "measured"), stats
+
+
+def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text", stats: str | None = None) -> DataFrame:
+    """The rows that the rules and the forest keep, with their own columns; no shuffle.
+
+    ``stats`` names a column that holds the statistics already; it is dropped.
+    """
+    if stats is None:
+        stats = fresh(docs, "stats")
+        docs = docs.withColumn(stats, rule_statistics(column(text_col)))
     score = scores(model.forest, stats) if model.forest else F.lit(0.0)
-    return texts.filter(~base_failed(stats)).filter(score < model.threshold).drop(stats)
+    return docs.filter(~base_failed(stats)).filter(score < model.threshold).drop(stats)

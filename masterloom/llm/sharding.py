@@ -87,10 +87,13 @@ def communication_matrix(parts: list[int], blocks: list[int], seed: int) -> np.n
 def shard(df: DataFrame, shards: int, seed: int = 0, rows_each: int = ROWS) -> DataFrame:
     """``df`` with ``shard`` (from 0) and ``slot`` (place in the shard, gapless from 0).
 
-    The table is read twice: pass a written one if it is costly to make.
+    Columns of these two names, in any case, are replaced; other extra columns are kept.
+    The table is read three times: pass a written one if it is costly to make.
     """
     spark = df.sparkSession
     part, place = fresh(df, "part"), fresh(df, "place")
+    columns = [fresh(df, stem) for stem in ("m_part", "shard", "m_begin", "m_from", "m_to", "m_range")]
+    m_part, number, m_begin, m_from, m_to, m_range = columns
     whole = [F.col(quoted(c)) for c in df.columns]
     rows = df.count()
     rows_each = max(rows_each, -(-rows // MOST_PARTS))
@@ -107,26 +110,24 @@ def shard(df: DataFrame, shards: int, seed: int = 0, rows_each: int = ROWS) -> D
     # A row meets the cells of its own range of places only, a few of its part's.
     width = max(1, -(-max(counted.values(), default=1) // RANGES))
     cells = [
-        (p, number, begin, int(ends[p, b] - matrix[p, b]), int(ends[p, b]), r)
+        (p, to, begin, int(ends[p, b] - matrix[p, b]), int(ends[p, b]), r)
         for p in range(n_parts)
-        for b, (number, begin, _) in enumerate(blocks)
+        for b, (to, begin, _) in enumerate(blocks)
         if matrix[p, b]
         for r in range(int(ends[p, b] - matrix[p, b]) // width, int(ends[p, b] - 1) // width + 1)
     ]
-    columns = ["m_part", "shard", "m_begin", "m_from", "m_to", "m_range"]
-    dealt = spark.createDataFrame(
-        pd.DataFrame(cells, columns=columns), "m_part int, shard int, m_begin long, m_from long, m_to long, m_range long"
-    )
+    kinds = ("int", "int", "long", "long", "long", "long")
+    dealt = spark.createDataFrame(pd.DataFrame(cells, columns=columns), ", ".join(map(" ".join, zip(columns, kinds))))
     within = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed + 1), *whole), *_sortable(df))
     permuted = keyed.withColumn(place, F.row_number().over(within) - 1)
-    inside = (F.col(place) >= F.col("m_from")) & (F.col(place) < F.col("m_to"))
-    on = (F.col(part) == F.col("m_part")) & (F.floor(F.col(place) / width) == F.col("m_range")) & inside
+    inside = (F.col(place) >= F.col(m_from)) & (F.col(place) < F.col(m_to))
+    on = (F.col(part) == F.col(m_part)) & (F.floor(F.col(place) / width) == F.col(m_range)) & inside
     kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
-    sent = permuted.join(F.broadcast(dealt), on).select(*[F.col(quoted(c)) for c in kept], part, "shard", "m_begin")
+    sent = permuted.join(F.broadcast(dealt), on).select(*[F.col(quoted(c)) for c in kept], part, number, m_begin)
     again = [F.col(quoted(c)) for c in kept]
-    in_block = Window.partitionBy("shard", "m_begin").orderBy(F.xxhash64(F.lit(seed + 2), *again), part, *_sortable(df, kept))
-    slot = (F.col("m_begin") + F.row_number().over(in_block) - 1).cast("long")
-    return sent.select(*again, "shard", slot.alias("slot"))
+    in_block = Window.partitionBy(number, m_begin).orderBy(F.xxhash64(F.lit(seed + 2), *again), part, *_sortable(df, kept))
+    slot = (F.col(m_begin) + F.row_number().over(in_block) - 1).cast("long")
+    return sent.select(*again, F.col(number).alias("shard"), slot.alias("slot"))
 
 
 def _sortable(df: DataFrame, columns: list[str] | None = None) -> list:

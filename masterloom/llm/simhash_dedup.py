@@ -89,7 +89,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``root`` is the smallest fingerprint of the component, as a signed long.
     """
     marked = docs.select(column(id_col).alias("id"), fingerprints(column(text_col), shingle).alias("fp"))
-    marked = stage(marked, "simhash")
+    return _components(stage(marked, "simhash"), radius)
+
+
+def _components(marked: DataFrame, radius: int) -> DataFrame:
+    """The same for a written table of ids and fingerprints."""
     items = marked.groupBy("fp").agg(F.min("id").alias("first"))
     linked = connected_components(fingerprint_links(items.select("fp"), radius))
     members = items.join(linked, items["fp"] == linked["node"], "left").select(
@@ -106,13 +110,14 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     It is the row with the component's id; a component without any id keeps the row
     with its smallest fingerprint.  Of several such rows the first by text stays.
+    The documents are written down with their fingerprints, which are computed once.
     """
-    groups = simhash_components(docs, id_col, text_col, shingle, radius)
+    fp, turn, k_id, k_fp = (fresh(docs, stem) for stem in ("fp", "turn", "k_id", "k_fp"))
+    rows = stage(docs.withColumn(fp, fingerprints(column(text_col), shingle)), "simhash-documents")
+    groups = _components(rows.select(column(id_col).alias("id"), F.col(fp).alias("fp")), radius)
     kept = groups.groupBy("root").agg(F.min(F.struct(F.isnull("id"), F.col("id"), F.col("fp"))).alias("k"))
-    kept = kept.select(F.col("k.id").alias("k_id"), F.col("k.fp").alias("k_fp"))
-    fp, turn = fresh(docs, "fp"), fresh(docs, "turn")
-    rows = docs.withColumn(fp, fingerprints(column(text_col), shingle))
-    rows = rows.join(kept, column(id_col).eqNullSafe(F.col("k_id")) & (column(fp) == F.col("k_fp")), "left_semi")
+    kept = kept.select(F.col("k.id").alias(k_id), F.col("k.fp").alias(k_fp))
+    rows = rows.join(kept, column(id_col).eqNullSafe(F.col(k_id)) & (column(fp) == F.col(k_fp)), "left_semi")
     first = Window.partitionBy(column(id_col), column(fp)).orderBy(column(text_col))
     return rows.withColumn(turn, F.row_number().over(first)).filter(column(turn) == 1).drop(turn, fp)
 

@@ -232,6 +232,7 @@ def _joined(rows: DataFrame, universe: DataFrame, listed: DataFrame, flag: str)
     """The same for a list too large to broadcast: hosts with a listed domain, by joins."""
     keys = listed.select(F.col(listed.columns[0]).alias("l_key")).filter("l_key <> ''").distinct()
     hosts = rows.select("host").distinct().select("host", F.explode(domains_of(F.col("host"))).alias("key"))
-    blocked = hosts.join(keys, F.col("key") == F.col("l_key"), "left_semi").select(F.col("host").alias("b_host")).distinct()
-    rows = rows.join(blocked, F.col("host") == F.col("b_host"), "left")
-    return rows.withColumn(flag, F.col("b_host").isNotNull()).drop("b_host")
+    host = fresh(rows, "host")
+    blocked = hosts.join(keys, F.col("key") == F.col("l_key"), "left_semi").select(F.col("host").alias(host)).distinct()
+    rows = rows.join(blocked, F.col("host") == F.col(host), "left")
+    return rows.withColumn(flag, F.col(host).isNotNull()).drop(host)

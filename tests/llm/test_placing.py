@@ -88,6 +88,43 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark):
     assert mixing.mix_documents(docs.limit(0)).count() == 0
 
 
+def mix_in_sql(docs):
+    """The operator's SQL on the same rows: (id, size, taken) with counts."""
+    import duckdb
+
+    base = duckdb.connect()
+    base.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    return Counter((i, size, taken) for i, size, _, _, taken in base.execute(mixing.ORACLE).fetchall())
+
+
+@pytest.mark.parametrize("case", ["equal rows", "null ids", "one document"])
+def test_only_as_many_equal_rows_are_taken_as_are_needed(spark, case):
+    if case == "equal rows":
+        rows = [(7, "w " * 5, "a")] * 500 + [(100 + i, "w " * 5, "a") for i in range(500)]
+    elif case == "null ids":
+        rows = [(None, "w " * 9, "a")] * 300 + [(i, "w " * 8, "a") for i in range(200)]
+    else:
+        rows = [(1, "w w", "a")] * 700
+    rows += [(5000 + i, "w " * 10, "b") for i in range(30)]
+    docs = documents(spark, rows).repartition(7)
+    mix = mixing.mixed(mixing.document_sizes(docs)).collect()
+    taken = Counter()
+    for r in mix:
+        taken[r["source"]] += r["copies"] * r["size"]
+    targets = {r["source"]: r["target"] for r in mix}
+    assert all(abs(taken[s] - t) <= 5 for s, t in targets.items())
+    assert Counter((r["id"], r["size"], r["copies"] * r["size"]) for r in mix) == mix_in_sql(docs)
+    whole = mixing.mix_documents(docs).collect()
+    assert Counter((r["doc_id"], r["source"]) for r in whole) == +sum_of((r["id"], r["source"], r["copies"]) for r in mix)
+
+
+def sum_of(rows):
+    found = Counter()
+    for i, source, n in rows:
+        found[i, source] += n
+    return found
+
+
 def test_a_small_chance_spreads_over_the_bins(spark):
     rows = spark.range(20_000).select("id", F.lit("hot").alias("source"), F.lit(1).cast("long").alias("size"))
     targets = spark.createDataFrame([("hot", 20_000, 2.0, 0, 0.0001, 2.0)], "source string, source_size long, target double, whole long, chance double, need double")
@@ -217,6 +254,58 @@ def test_the_shuffle_is_uniform(spark):
     assert hits.sum(0).tolist() == [72] * 4 and ((hits - 3) ** 2 / 3).sum() < 130
 
 
+# --- extra columns
+
+
+#: Names that operators use for helper columns, in both cases.
+HELPERS = """s_source k_id k_fp d_id d_print m_part m_begin m_from m_to m_range b_host l_key l_id id text print hash
+chunks chunk lines pairs marks e fp turn stats score mix copy copies place border read before cut whole chance need rank
+source_size target most_equal size n first again r_hash part key node component root bin base nth equal b_source b_bin
+c_source c_read start shard slot row term block n_a digest pair docs ask asks vector floors stored host path rule verdict""".split()
+
+
+def widened(df):
+    """The table with an extra column of every helper's name, in lower or upper case, that it lacks."""
+    own = {c.lower() for c in df.columns}
+    names = [n if i % 2 else n.upper() for i, n in enumerate(HELPERS) if n not in own]
+    return df.select("*", *[F.lit("x").alias(n) for n in names], *[F.lit("y").alias(f"__{n}") for n in names])
+
+
+def test_pipeline_stages_with_clashing_columns(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(120)
+    extra = widened(docs)
+    for name, function in corpus_pipeline.STAGES:
+        plain, wide = (function(spark, d, FOLDER) for d in (docs, extra))
+        if name != "best-fit packing":
+            assert wide.columns == extra.columns
+        assert Counter(map(tuple, wide.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect())), name
+
+
+def test_operators_with_clashing_columns(spark):
+    from masterloom.llm import divergence_audit, line_chunks, topk_search, url_cascade
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url").limit(60)
+    vectors = spark.read.parquet(f"{FOLDER}/embeddings.parquet").limit(60)
+    listed = spark.createDataFrame([("ads-track.example.com",)], "key string")
+    calls = {
+        "chunks": (line_chunks.drop_repeated_chunks, docs),
+        "shard": (lambda d: sharding.shard(d.select("doc_id", *[c for c in d.columns if c not in docs.columns]), 5), docs),
+        "urls": (lambda d: url_cascade.filter_urls(d, [url_cascade.Rule("block", "net")], listed), pages),
+        "divergence": (divergence_audit.divergences, docs),
+        "search": (topk_search.top_k, vectors),
+    }
+    for name, (call, table) in calls.items():
+        plain, wide = call(table), call(widened(table))
+        assert set(plain.columns) <= set(wide.columns), name
+        if name != "shard":  # its shuffle depends on whole rows
+            assert Counter(map(str, wide.select(*plain.columns).collect())) == Counter(map(str, plain.collect())), name
+        else:
+            assert wide.count() == plain.count()
+
+
 # --- pipeline
 
 
