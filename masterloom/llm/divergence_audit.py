@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from masterloom.llm.common import column, discard, shuffle_partitions, stage, word_runs
+from masterloom.llm.common import column, shuffle_partitions, stage, word_runs
 
 SCALE = 1_000_000_000
 MIN_DOCS = 3
@@ -49,7 +49,11 @@ LETTERS = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 els
 
 
 def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``lang``, ``source``, ``term``, ``n`` (occurrences) and ``docs``; a null term stands for the group itself."""
+    """``lang``, ``source``, ``term``, ``n`` (occurrences) and ``docs``.
+
+    All rows of a term of a language are in one partition: as many as there are sources
+    and tasks that have it.  Tasks have added up their own texts before that shuffle.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
@@ -74,16 +78,21 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
                     held, size = {}, 0
         yield from _emitted(held)
 
-    texts = [F.coalesce(column(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))]
+    texts = [filled(c).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))]
     found = docs.select(*texts).mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    spread = found.repartition("lang", "term")
+    return spread.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def filled(name: str) -> Column:
+    """A column as text, '' where null."""
+    return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
 def _emitted(held: dict) -> Iterator[pa.RecordBatch]:
     for (lang, source), terms in held.items():
-        # The group itself comes along as a row without a term.
-        words = pa.array([None, *terms], pa.binary()).cast(pa.string())
-        n, docs = ([0, *x] for x in (zip(*terms.values()) if terms else ((), ())))
+        words = pa.array(list(terms), pa.binary()).cast(pa.string())
+        n, docs = zip(*terms.values()) if terms else ((), ())
         same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(words), np.int32))) for x in (lang, source)]
         yield pa.record_batch([*same, words, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
 
@@ -91,14 +100,12 @@ def _emitted(held: dict) -> Iterator[pa.RecordBatch]:
 def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang``, ``term``, ``n`` and ``cells`` (source and count, by source) of every kept term."""
     cells = F.sort_array(F.collect_list(F.struct("source", "n")))
-    terms = counts.filter(F.col("term").isNotNull()).groupBy("lang", "term")
-    found = terms.agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), cells.alias("cells"))
+    found = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), cells.alias("cells"))
     return found.filter(F.col("docs") >= min_docs).select("lang", "term", "n", "cells")
 
 
-def group_totals(counts: DataFrame, kept: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``total`` (N + V) and ``lang_total`` of every group that occurs."""
-    groups = counts.filter(F.col("term").isNull()).select("lang", "source")
+def group_totals(groups: DataFrame, kept: DataFrame) -> DataFrame:
+    """``lang``, ``source``, ``total`` (N + V) and ``lang_total`` of ``groups``."""
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("n").alias("n")).withColumnRenamed("lang", "l_lang")
     cells = kept.select("lang", F.explode("cells").alias("c")).select(F.col("lang").alias("g_lang"), F.col("c.source").alias("g_source"), "c.n")
     sums = cells.groupBy("g_lang", "g_source").agg(F.sum("n").alias("g_n"))
@@ -322,10 +329,9 @@ def divergences(
     tile: int = TILE,
 ) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value`` and ``rank``: all pairs, and each group's ``top`` terms."""
-    counts = stage(term_counts(docs, lang_col, source_col, text_col), "term-counts")
-    kept = stage(kept_terms(counts, min_docs), "kept-terms")
-    groups = stage(group_totals(counts, kept), "groups")
-    discard(counts)
+    kept = stage(kept_terms(term_counts(docs, lang_col, source_col, text_col), min_docs), "kept-terms")
+    occurring = docs.select(filled(lang_col).alias("lang"), filled(source_col).alias("source")).distinct()
+    groups = stage(group_totals(occurring, kept), "groups")
     columns = stage(columns_of(kept, block_cells), "columns")
     pairs = pair_values(columns, groups, tile)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))

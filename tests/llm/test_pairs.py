@@ -75,7 +75,7 @@ def test_probabilities_beyond_64_bits():
 
 def test_long_texts_are_counted_whole(spark):
     text = "ab, " * 700_000 + "cd"
-    got = divergence_audit.term_counts(documents(spark, [(text, "en", "s")])).filter("term is not null")
+    got = divergence_audit.term_counts(documents(spark, [(text, "en", "s")]))
     assert {(r["term"], r["n"], r["docs"]) for r in got.collect()} == {("ab", 700_000, 1), ("cd", 1, 1)}
 
 
