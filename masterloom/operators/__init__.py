@@ -20,13 +20,14 @@ from masterloom.operators.schema import (
     schema_drift,
     string_schema,
 )
-from masterloom.operators.upsert import key_profile, reject_blank_keys, upsert
+from masterloom.operators.upsert import changed_keys, key_profile, reject_blank_keys, upsert
 
 __all__ = [
     "Reference",
     "add_audit",
     "apply_mapping",
     "attach",
+    "changed_keys",
     "conform",
     "enrich_reference",
     "fits_broadcast",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timedelta
+from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from masterloom.context import RunContext
 from masterloom.functions import (
@@ -26,6 +28,7 @@ from masterloom.operators import (
     add_audit,
     apply_mapping,
     attach,
+    changed_keys,
     enrich_reference,
     fits_broadcast,
     lookup_join,
@@ -37,23 +40,32 @@ from masterloom.operators import (
 )
 from masterloom.plans import hotel_spec as spec
 from masterloom.sources import (
+    Load,
+    NewestFile,
+    RunLedger,
     append_evolving,
     batch_slice,
+    drop_partition,
     ensure_table,
     export_csv,
+    file_stamps,
+    list_files,
     merge_table,
-    newest_file,
     read_drop,
+    replace_partition,
+    rows_of_keys,
     staged,
     utc_text,
-    watermark_slice,
 )
 from masterloom.sources.drops import EPOCH
+from masterloom.sources.ledger import micros
+from masterloom.sources.tables import RANGE_COLUMN
 
 TIMESTAMP = "lastmodifieddate"
-#: Property of the gold table: microseconds of the newest silver time that has reached it.
-REACHED = "masterloom.silver_reached"
 SILVER_AUDIT = ("createdby", "lastupdatedby", "createdtimestamp", "lastupdatedtimestamp")
+#: What a load goes through; a brand load ends with bronze.
+STAGES = ("found", "bronze", "silver planned", "silver", "gold planned", "gold", "exported")
+CHANGES = StructType([StructField(c, StringType()) for c in ("Code", "load", "layer")])
 
 
 @dataclass(frozen=True)
@@ -70,6 +82,16 @@ class HotelTables:
     gold_columns: Sequence[str] = ()
     # Hash buckets by key of new silver and gold tables; 0 for none.
     buckets: int = 0
+    # Or partitions by key range, of which an upsert reads and writes only its own; 0 for none.
+    ranges: int = 0
+    # What each load has reached, which keys it changes, and which rows it could not take;
+    # beside the silver table where no names are given.
+    ledger: str = ""
+    changes: str = ""
+    rejected: str = ""
+
+    def named(self, role: str) -> str:
+        return getattr(self, role) or f"{self.silver}_{role}"
 
 
 @dataclass
@@ -79,6 +101,7 @@ class RunSummary:
     status: str
     hotel_file: str | None = None
     brand_file: str | None = None
+    loads: list[str] = field(default_factory=list)
     hotels: int = 0
     rejected: int = 0
     drift: dict[str, list[str]] = field(default_factory=dict)
@@ -178,10 +201,15 @@ def gold_batch(silver: DataFrame) -> DataFrame:
 class HotelRun:
     """One run over a hotel drop and a brand drop.
 
-    The steps may be called one by one or through ``run``.  Each replaces what an
-    earlier attempt on the same files left, so a failed run is simply run again, under
-    a new context too: the gold table keeps the time up to which silver has reached it
-    (``REACHED``), and a run takes all silver rows after that.
+    Every file becomes a load, and a ledger keeps the stage each load has reached.  Which
+    keys a load changes is written down before a layer is merged; the merge, the next
+    layer and the export take exactly these keys.  So whatever step a run dies in, the
+    next run ends its loads first, with the same rows and the same stamps, and nothing
+    hangs on clocks or on a context of its own.  Loads are taken one after another,
+    oldest file first; an export holds what all loads since the last export have changed.
+
+    Rows without a key are kept in the ``rejected`` table, with the load and the reason;
+    ``replay`` brings them back mended.  One run at a time.
     """
 
     spark: SparkSession
@@ -194,104 +222,182 @@ class HotelRun:
     only_if_changed: bool = False
     # One CSV file, written by one task, instead of a folder of parts.
     single_export: bool = False
+    # All files that no load is of yet, instead of the newest file alone (loaded or not).
+    every_unseen: bool = False
+    # Rows that repeat a key within their load: keep them apart, or stop the run.
+    reject_repeats: bool = False
+
+    @property
+    def ledger(self) -> RunLedger:
+        return RunLedger(self.spark, self.tables.named("ledger"), STAGES)
 
     def run(self, hotel_path: str, brand_path: str, export_dir: str) -> RunSummary:
         """Drops to CSV.  Without a valid hotel or brand file nothing is written."""
-        newest = {path: self._newest(path) for path in (hotel_path, brand_path)}
-        if None in newest.values():
+        if not self.begin(hotel_path, brand_path):
             return RunSummary("no valid files")
-        hotel, brand = newest[hotel_path], newest[brand_path]
-        summary = RunSummary("done", hotel.name, brand.name)
-        self.bronze(hotel_path, hotel, self.tables.bronze_hotel)
-        self.bronze(brand_path, brand, self.tables.bronze_brand)
-        self.silver(hotel.batch_id, summary)
-        self.gold()
+        summary = RunSummary("done")
+        for load, _ in self.ledger.pending("brand", "bronze"):
+            self.bronze(load, brand_path, self.tables.bronze_brand)
+            summary.brand_file = load.file
+        for load, stage in self.ledger.pending("hotel"):
+            if stage == "found":
+                self.bronze(load, hotel_path, self.tables.bronze_hotel)
+            if STAGES.index(stage) < STAGES.index("silver"):
+                self.silver(load, stage, summary)
+            if STAGES.index(stage) < STAGES.index("gold"):
+                self.gold(load, stage)
+            summary.loads.append(load.load)
+            summary.hotel_file = load.file
+        if not summary.loads:
+            summary.status = "nothing new"
         self.export(export_dir, summary)
         return summary
 
-    def bronze(self, path, newest, table: str) -> None:
-        """Append the newest file's rows."""
-        rows = sanitize_columns(read_drop(self.spark, path, newest.name))
-        ctx = replace(self.ctx, batch_id=newest.batch_id)
-        append_evolving(add_audit(rows, ctx, newest.name), table, newest.batch_id)
-
-    def silver(self, batch_id: str, summary: RunSummary) -> None:
-        """Standardise one load and upsert it; rows without a key are counted apart."""
-        batch = silver_batch(
-            batch_slice(self.spark.table(self.tables.bronze_hotel), batch_id),
-            self.spark.table(self.tables.bronze_brand),
-            self.country_ref,
-            self.brand_ref,
-            self.dial_plan,
-            self.code_mode,
-        )
+    def begin(self, hotel_path: str, brand_path: str) -> bool:
+        """Enter the drops' files as loads; False where one of the drops never had a valid file."""
+        found = {kind: self._found(kind, path) for kind, path in (("hotel", hotel_path), ("brand", brand_path))}
+        known = self.ledger.kinds()
+        if not all(files or kind in known for kind, files in found.items()):
+            return False
+        open_ = {load.batch_id for load, _ in [*self.ledger.pending("hotel"), *self.ledger.pending("brand", "bronze")]} if known else set()
+        self.ledger.begin([f for files in found.values() for f in files if f.batch_id not in open_], "found")
+        return True
+
+    def _found(self, kind: str, path: str) -> list[Load]:
+        """The drop's files to load, oldest first.  Only their timestamps are read."""
+        try:
+            files = list_files(self.spark, path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                raise
+            return []
+        names = None
+        if self.every_unseen:
+            files = self.ledger.unseen(files, kind)
+            names = [r["file"] for r in files.select("file").collect()]
+            if not names:
+                return []
+        rows = read_drop(self.spark, path, names)
+        if rows is None or TIMESTAMP not in [c.lower() for c in rows.columns]:
+            return []
+        stamps = file_stamps(rows, TIMESTAMP).filter(F.col("file_us").isNotNull())
+        if not self.every_unseen:
+            stamps = stamps.orderBy(F.desc("file_us"), F.desc("file")).limit(1)
+        dated = stamps.join(files, "file").orderBy("file_us", "file").collect()
+        return [self._load(kind, r["file"], r["file_us"], r["size"], r["modified_us"]) for r in dated]
+
+    def _load(self, kind: str, file: str, file_us: int, size: int, modified_us: int) -> Load:
+        batch_id = NewestFile(file, EPOCH + timedelta(microseconds=file_us)).batch_id
+        return Load("", kind, batch_id, file, file_us, size, modified_us, self.ctx.user, micros(self.ctx.ts))
+
+    def bronze(self, load: Load, path: str, table: str) -> None:
+        """Append one file's rows."""
+        rows = sanitize_columns(read_drop(self.spark, path, load.file))
+        append_evolving(add_audit(rows, replace(self.ctx, batch_id=load.batch_id), load.file), table, load.batch_id)
+        self.ledger.reach([load], "bronze")
+
+    def silver(self, load: Load, stage: str, summary: RunSummary) -> None:
+        """Standardise one load and upsert it; rows that have no key of their own are kept apart."""
+        slice_ = batch_slice(self.spark.table(self.tables.bronze_hotel), load.batch_id)
+        good, rejects = self._keyed(slice_)
+        brands = self.spark.table(self.tables.bronze_brand)
+        batch = silver_batch(good, brands, self.country_ref, self.brand_ref, self.dial_plan, self.code_mode)
         with staged(batch, "silver-batch") as rows:
-            self._merge_silver(rows, summary)
-
-    def _merge_silver(self, rows: DataFrame, summary: RunSummary) -> None:
-        good, rejects = reject_blank_keys(rows, ["Code"])
-        both = {"lastupdatedby": self.ctx.user_col(), "lastupdatedtimestamp": self.ctx.ts_col()}
-        new = {"createdby": self.ctx.user_col(), "createdtimestamp": self.ctx.ts_col()}
-        audited = good.withColumns({**new, **both}).select(*good.columns, *SILVER_AUDIT)
-        ensure_table(
-            self.spark,
-            self.tables.silver,
-            audited.schema,
-            bucket_by=["Code"],
-            buckets=self.tables.buckets,
-        )
-        target = self.spark.table(self.tables.silver).schema
-        summary.drift = schema_drift(audited, target)
-        known = {n.lower() for n in target.names}
-        source = good.select([c for c in good.columns if c.lower() in known])
-        summary.rejected = rejects.count()
-        summary.hotels = merge_table(
-            source, self.tables.silver, ["Code"], both, {**both, **new}, self.only_if_changed
-        )
-
-    def gold(self) -> None:
-        """Upsert the silver rows of this run into the wide table of strings."""
-        ensure_table(
-            self.spark,
-            self.tables.gold,
-            string_schema(self.tables.gold_columns or spec.gold_columns()),
-            bucket_by=["Code"],
-            buckets=self.tables.buckets,
-        )
-        silver = self.spark.table(self.tables.silver)
-        since = self._reached()
-        changed = silver if since is None else watermark_slice(silver, "lastupdatedtimestamp", since)
-        upto = changed.agg(F.max(F.unix_micros("lastupdatedtimestamp")).alias("upto")).first()["upto"]
-        by, at = self.ctx.user_col(), F.lit(utc_text(self.ctx.ts))
-        both = {spec.GOLD_CHANGED_BY: by, spec.GOLD_CHANGED_AT: at}
-        new = {spec.GOLD_ENTERED_BY: by, spec.GOLD_ENTERED_AT: at}
+            audited = rows.select("*", *[F.lit(None).cast(_AUDIT_TYPES[c]).alias(c) for c in SILVER_AUDIT])
+            self._ensure(self.tables.silver, audited.schema)
+            summary.drift = schema_drift(audited, self._columns(self.tables.silver))
+            known = {n.lower() for n in self.spark.table(self.tables.silver).columns}
+            source = rows.select([c for c in rows.columns if c.lower() in known])
+            append_evolving(rejects.withColumn("batch_id", F.lit(load.load)), self.tables.named("rejected"), load.load)
+            summary.rejected += batch_slice(self.spark.table(self.tables.named("rejected")), load.load).count()
+            stamp = {"lastupdatedby": F.lit(load.run_by), "lastupdatedtimestamp": F.lit(load.run_ts)}
+            new = {"createdby": F.lit(load.run_by), "createdtimestamp": F.lit(load.run_ts)}
+            self._merge(load, stage, "silver", source, self.tables.silver, stamp, new)
+            summary.hotels += source.count()
+
+    def gold(self, load: Load, stage: str) -> None:
+        """Upsert the silver rows that a load has changed into the wide table of strings."""
+        columns = self.tables.gold_columns or spec.gold_columns()
+        self._ensure(self.tables.gold, string_schema(columns))
+        changed = rows_of_keys(self.spark, self.tables.silver, self._changes([load], "silver"))
+        at = F.lit(utc_text(load.run_ts))
+        stamp = {spec.GOLD_CHANGED_BY: F.lit(load.run_by), spec.GOLD_CHANGED_AT: at}
+        new = {spec.GOLD_ENTERED_BY: F.lit(load.run_by), spec.GOLD_ENTERED_AT: at}
         with staged(gold_batch(changed), "gold-batch") as rows:
-            merge_table(
-                rows, self.tables.gold, ["Code"], both, {**both, **new}, self.only_if_changed
-            )
-        if upto is not None:
-            self.spark.sql(f"ALTER TABLE {self.tables.gold} SET TBLPROPERTIES ('{REACHED}' = '{upto}')")
-
-    def _reached(self) -> datetime | None:
-        """The first moment whose silver rows have not reached gold; None: take all."""
-        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.tables.gold}").filter(F.col("key") == REACHED)
-        kept = shown.first()
-        return None if kept is None else EPOCH + timedelta(microseconds=int(kept["value"]) + 1)
+            self._merge(load, stage, "gold", rows, self.tables.gold, stamp, new)
 
     def export(self, directory: str, summary: RunSummary) -> None:
-        """Write the gold rows of this run, and their keys alone, as CSV."""
-        changed = watermark_slice(
-            self.spark.table(self.tables.gold),
-            spec.GOLD_CHANGED_AT,
-            self.ctx.ts,
-            F.col(spec.SOURCE_SYSTEM_COLUMN) == spec.SOURCE_SYSTEM,
-        )
+        """Write the gold rows that loads have changed since the last export, and their keys alone, as CSV."""
+        loads = [load for load, stage in self.ledger.pending("hotel") if stage == "gold"]
+        if not loads:
+            return
+        changed = rows_of_keys(self.spark, self.tables.gold, self._changes(loads, "gold"))
+        changed = changed.filter(F.col(spec.SOURCE_SYSTEM_COLUMN) == spec.SOURCE_SYSTEM)
         with staged(fill_blank(changed.select(*spec.gold_sources())), "export") as rows:
             summary.exports = [
                 export_csv(rows, directory, spec.EXPORT_FILE, self.single_export),
                 export_csv(rows.select("code"), directory, spec.EXPORT_CODES_FILE, self.single_export),
             ]
-
-    def _newest(self, path: str):
-        rows = read_drop(self.spark, path)
-        return None if rows is None else newest_file(rows, TIMESTAMP)
+        self.ledger.reach(loads, "exported")
+        for load in loads:
+            for layer in ("silver", "gold"):
+                drop_partition(self.spark, self.tables.named("changes"), {"load": load.load, "layer": layer})
+
+    def replay(self, load: str, mend: Callable[[DataFrame], DataFrame]) -> Load:
+        """Enter a load's rejected rows, mended, as a load of their own; the next run brings it to the export.
+
+        ``mend`` gets the rows as bronze has them, with ``reason``.  Mended rows are the
+        newest word on their keys, as those of a new file would be.
+        """
+        name = self.tables.named("rejected")
+        rows = mend(batch_slice(self.spark.table(name), load)).drop("reason", "batch_id")
+        first = next(x for x in self.ledger.state().filter(F.col("load") == load).collect())
+        again = Load("", "hotel", f"{load}~mended", first["file"], first["file_us"], 0, 0, self.ctx.user, micros(self.ctx.ts))
+        append_evolving(rows.withColumn("batch_id", F.lit(again.batch_id)), self.tables.bronze_hotel, again.batch_id)
+        (again,) = self.ledger.begin([again], "bronze")
+        drop_partition(self.spark, name, {"batch_id": load})
+        return again
+
+    def _keyed(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows with a key of their own, and the others with ``reason``."""
+        coded = rows.withColumn("__code", code_field("id", spec.CODE_PREFIX))
+        good, blank = reject_blank_keys(coded, ["__code"])
+        rejects = blank.withColumn("reason", F.lit("blank key"))
+        if self.reject_repeats:
+            again = good.groupBy("__code").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__code")
+            rejects = rejects.unionByName(good.join(again, "__code", "left_semi").withColumn("reason", F.lit("repeated key")))
+            good = good.join(again, "__code", "left_anti")
+        return good.select(*rows.columns), rejects.select(*rows.columns, "reason")
+
+    def _merge(self, load: Load, stage: str, layer: str, rows: DataFrame, table: str, stamp: dict, new: dict) -> None:
+        """Upsert those rows of a load that change the table; which ones is settled only once."""
+        if STAGES.index(stage) < STAGES.index(f"{layer} planned"):
+            keys = changed_keys(self.spark.table(table), rows, ["Code"]) if self.only_if_changed else rows.select("Code")
+            if keys.groupBy("Code").count().filter("count > 1").isEmpty():
+                replace_partition(keys, self.tables.named("changes"), {"load": load.load, "layer": layer}, CHANGES)
+                self.ledger.reach([load], f"{layer} planned")
+            else:  # says what is wrong, and writes nothing
+                merge_table(rows, table, ["Code"])
+        both = {**stamp, **new}
+        if self.only_if_changed:
+            with staged(rows.join(self._changes([load], layer), "Code", "left_semi"), f"{layer}-changes") as source:
+                merge_table(source, table, ["Code"], stamp, both)
+        else:  # all of them, as often as the step is taken
+            merge_table(rows, table, ["Code"], stamp, both)
+        self.ledger.reach([load], layer)
+
+    def _changes(self, loads: Sequence[Load], layer: str) -> DataFrame:
+        """The keys that loads change in a layer."""
+        table = self.spark.table(self.tables.named("changes"))
+        mine = F.col("load").isin([load.load for load in loads]) & (F.col("layer") == layer)
+        return table.filter(mine).select("Code").distinct()
+
+    def _ensure(self, name: str, schema: StructType) -> None:
+        ensure_table(self.spark, name, schema, bucket_by=["Code"], buckets=self.tables.buckets, ranges=self.tables.ranges)
+
+    def _columns(self, name: str) -> StructType:
+        """A table's columns without the one of its layout."""
+        return StructType([f for f in self.spark.table(name).schema.fields if f.name != RANGE_COLUMN])
+
+
+_AUDIT_TYPES = {"createdby": "string", "lastupdatedby": "string", "createdtimestamp": "timestamp", "lastupdatedtimestamp": "timestamp"}

@@ -1,29 +1,40 @@
 """File drops, slices of tables, and table and file sinks."""
 
-from masterloom.sources.drops import NewestFile, latest_batch, newest_file, read_drop
+from masterloom.sources.drops import NewestFile, file_stamps, latest_batch, list_files, newest_file, read_drop
 from masterloom.sources.export import export_csv
+from masterloom.sources.ledger import Load, RunLedger
 from masterloom.sources.slices import batch_slice, utc_text, watermark_slice
 from masterloom.sources.tables import (
     DuplicateKeyError,
     append_evolving,
+    drop_partition,
     ensure_table,
     merge_table,
     replace_contents,
+    replace_partition,
+    rows_of_keys,
     staged,
 )
 
 __all__ = [
     "DuplicateKeyError",
+    "Load",
     "NewestFile",
+    "RunLedger",
     "append_evolving",
     "batch_slice",
+    "drop_partition",
     "ensure_table",
     "export_csv",
+    "file_stamps",
     "latest_batch",
+    "list_files",
     "merge_table",
     "newest_file",
     "read_drop",
     "replace_contents",
+    "replace_partition",
+    "rows_of_keys",
     "staged",
     "utc_text",
     "watermark_slice",

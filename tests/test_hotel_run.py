@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from conftest import ROOT
 from masterloom.context import RunContext
 from masterloom.plans import HotelRun, HotelTables, hotel_spec
-from masterloom.plans.hotel import RunSummary
-from masterloom.sources import DuplicateKeyError, replace_contents
+from masterloom.plans.hotel import STAGES, RunSummary
+from masterloom.sources import DuplicateKeyError, RunLedger, replace_contents
 
 T0 = datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc)
 
@@ -95,27 +95,32 @@ def world(spark, database, tmp_path):
     write_hotels(spark, hotels, "hotel_1.parquet", [FIRST, SECOND, hotel("  ", "No id", T0)])
     write_brands(spark, brands, "brand_1.parquet", [("b1", "Inns", T0), ("b1", "Old inns", T0 - timedelta(1))])
 
-    def run(ts, stop=False, **options):
+    def job(ts, **options):
         tables = HotelTables(
             *[f"{database}.{t}" for t in ("bronze_hotel", "bronze_brand", "silver", "gold")],
             gold_columns=options.pop("gold_columns", ()),
             buckets=options.pop("buckets", 0),
+            ranges=options.pop("ranges", 0),
         )
-        job = HotelRun(spark, RunContext("etl", ts), country, brand, plan, tables, single_export=True, **options)
+        return HotelRun(spark, RunContext("etl", ts), country, brand, plan, tables, single_export=True, **options)
+
+    def run(ts, stop=False, **options):
         if stop:
-            run_until_silver(job, hotels, brands)
+            run_until_silver(job(ts, **options), hotels, brands)
             return None
-        return job.run(str(hotels), str(brands), str(tmp_path / "out"))
+        return job(ts, **options).run(str(hotels), str(brands), str(tmp_path / "out"))
 
-    run.hotels, run.brands, run.out, run.database = hotels, brands, tmp_path / "out", database
+    run.hotels, run.brands, run.out, run.database, run.job = hotels, brands, tmp_path / "out", database, job
     return run
 
 
 def run_until_silver(job, hotels, brands):
-    newest = {path: job._newest(str(path)) for path in (hotels, brands)}
-    job.bronze(str(hotels), newest[hotels], job.tables.bronze_hotel)
-    job.bronze(str(brands), newest[brands], job.tables.bronze_brand)
-    job.silver(newest[hotels].batch_id, RunSummary("stopped"))
+    job.begin(str(hotels), str(brands))
+    for load, _ in job.ledger.pending("brand", "bronze"):
+        job.bronze(load, str(brands), job.tables.bronze_brand)
+    for load, stage in job.ledger.pending("hotel"):
+        job.bronze(load, str(hotels), job.tables.bronze_hotel)
+        job.silver(load, stage, RunSummary("stopped"))
 
 
 def read_csv(world, name):
@@ -262,3 +267,82 @@ def test_a_run_that_died_after_silver_reaches_gold_in_the_next(spark, world, bef
     assert sorted(found) == ["SFH1", "SFH2"]
     assert found["SFH1"]["Name"] == ("Inn renamed" if before else "Inn")
     assert ["SFH1"] in read_csv(world, hotel_spec.EXPORT_CODES_FILE)[1:]
+
+
+# --- exactly once
+
+
+class Killed(Exception):
+    pass
+
+
+def codes_of(world):
+    return sorted(r[0] for r in read_csv(world, hotel_spec.EXPORT_CODES_FILE)[1:])
+
+
+def test_two_files_under_one_context(spark, world):
+    world(T0)
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [hotel("H9", "Ninth", T0 + timedelta(1))])
+    world(T0)
+    assert "SFH9" in gold(spark, world)
+    assert codes_of(world) == ["SFH9"]
+    # A clock that is behind changes nothing either.
+    write_hotels(spark, world.hotels, "hotel_3.parquet", [hotel("H8", "Eighth", T0 + timedelta(2))])
+    world(T0 - timedelta(seconds=1))
+    assert gold(spark, world)["SFH8"]["LastChgDTM"] == "2024-05-01 09:59:59"
+    assert codes_of(world) == ["SFH8"]
+
+
+@pytest.mark.parametrize("ranges", [0, 4])
+def test_a_kill_before_each_stage_is_entered_loses_nothing(spark, world, ranges, monkeypatch):
+    """Each step's work is done, its entry in the ledger is not; every run goes on where the last one died."""
+    reach = RunLedger.reach
+    options = {"only_if_changed": True, "ranges": ranges}
+    for hour, step in enumerate(STAGES):
+
+        def killed(self, loads, stage, step=step):
+            if stage == step and loads[0].kind == "hotel":
+                raise Killed
+            reach(self, loads, stage)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(RunLedger, "reach", killed)
+            with pytest.raises(Killed):
+                world(T0 + timedelta(hours=hour), **options)
+    world(T0 + timedelta(days=1), **options)
+    assert codes_of(world) == ["SFH1", "SFH2"]
+    # The load was entered by the second run, and has its stamp.
+    assert {r["LastChgDTM"] for r in gold(spark, world).values()} == {"2024-05-01 11:00:00"}
+    assert spark.table(f"{world.database}.bronze_hotel").count() == 3
+    assert spark.table(f"{world.database}.silver_changes").isEmpty()
+
+
+def test_all_unseen_files_in_order(spark, world):
+    first = world(T0, every_unseen=True)
+    assert [x.split("-")[0] for x in first.loads] == ["hotel_0.parquet", "hotel_1.parquet"]
+    assert codes_of(world) == ["SFH0", "SFH1", "SFH2"]
+    for day, name in ((3, "late.parquet"), (2, "x_early.parquet"), (4, "a_last.parquet")):
+        write_hotels(spark, world.hotels, name, [hotel("H1", f"Day {day}", T0 + timedelta(day)), hotel(f"D{day}", "own", T0)])
+    summary = world(T0 + timedelta(9), every_unseen=True)
+    assert [x.split("-")[0] for x in summary.loads] == ["x_early.parquet", "late.parquet", "a_last.parquet"]
+    found = gold(spark, world)
+    assert found["SFH1"]["Name"] == "Day 4" and {"SFD2", "SFD3", "SFD4"} <= found.keys()
+    assert codes_of(world) == ["SFD2", "SFD3", "SFD4", "SFH1"]
+    before = (world.out / hotel_spec.EXPORT_FILE).stat().st_mtime_ns
+    assert world(T0 + timedelta(10), every_unseen=True).status == "nothing new"
+    assert (world.out / hotel_spec.EXPORT_FILE).stat().st_mtime_ns == before
+
+
+def test_rejected_rows_come_back_mended(spark, world):
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [hotel("H5", "a", T0 + timedelta(1)), hotel("H5", "b", T0), hotel(None, "lost", T0), hotel("H6", "ok", T0)])
+    summary = world(T0, reject_repeats=True)
+    assert (summary.hotels, summary.rejected, codes_of(world)) == (1, 3, ["SFH6"])
+    rejected = spark.table(f"{world.database}.silver_rejected")
+    assert sorted((r["name"], r["reason"], r["batch_id"]) for r in rejected.collect()) == [
+        (n, reason, summary.loads[0]) for n, reason in (("a", "repeated key"), ("b", "repeated key"), ("lost", "blank key"))
+    ]
+    job = world.job(T0 + timedelta(1))
+    job.replay(summary.loads[0], lambda rows: rows.withColumn("id", F.concat(F.lit("M"), "name")))
+    later = world(T0 + timedelta(1), reject_repeats=True, every_unseen=True)
+    assert {"SFMa", "SFMb", "SFMlost"} <= set(codes_of(world))
+    assert later.rejected == 1 and rejected.filter(F.col("batch_id") == summary.loads[0]).isEmpty()

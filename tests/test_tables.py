@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from masterloom.context import RunContext
 from masterloom.operators.schema import SchemaDriftError, string_schema
 from masterloom.sources import tables, watermark_slice
-from masterloom.sources.tables import DuplicateKeyError
+from masterloom.sources.tables import DuplicateKeyError, ensure_table, key_range, merge_table, rows_of_keys, staged
 
 CTX = RunContext("etl", datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc), "b1")
 
@@ -239,3 +239,33 @@ def test_a_bucketed_merge_writes_few_files(spark, database):
     tables.merge_table(batch, name, ["id"])
     assert spark.table(name).select(F.input_file_name()).distinct().count() <= 32
     assert spark.table(name).count() == len({str(i) for i in range(2000)} | {str(i) for i in range(0, 4000, 3)})
+
+
+def test_a_small_batch_touches_its_own_ranges_only(spark, database):
+    name = f"{database}.ranged"
+    rows = spark.range(2000).select(F.col("id").alias("code"), F.lit("old").alias("status"))
+    ensure_table(spark, name, rows.schema, bucket_by=["code"], ranges=64)
+    for batch in (rows, rows.filter("code % 200 = 7").withColumn("status", F.lit("new"))):
+        files = {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
+        with staged(batch, "batch") as source:
+            merge_table(source, name, ["code"])
+    after = spark.table(name)
+    assert after.columns == ["code", "status", "key_range"]
+    left = {r[0] for r in after.select("_metadata.file_path").distinct().collect()} & files
+    kept = {f.split("key_range=")[1].split("/")[0] for f in left}
+    written = {r[0] for r in after.select("key_range").distinct().collect()} - set(map(int, kept))
+    assert 1 <= len(written) <= 10
+    assert {r[0] for r in after.filter("status = 'new'").select("code").collect()} == set(range(7, 2000, 200))
+    assert after.count() == 2000
+    assert after.filter(F.col("key_range") != key_range(["code"], 64)).isEmpty()
+
+
+def test_rows_of_keys_reads_their_ranges(spark, database):
+    name = f"{database}.ranged_read"
+    rows = spark.range(500).select(F.col("id").alias("code"), F.lit("x").alias("status"))
+    ensure_table(spark, name, rows.schema, bucket_by=["code"], ranges=32)
+    with staged(rows, "batch") as source:
+        merge_table(source, name, ["code"])
+    found = rows_of_keys(spark, name, spark.createDataFrame([(3,), (499,), (900,)], "code long"))
+    assert sorted(r["code"] for r in found.collect()) == [3, 499]
+    assert "PartitionFilters: [" in found._jdf.queryExecution().toString() and len(found.inputFiles()) <= 3 * 8
