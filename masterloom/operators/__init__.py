@@ -10,7 +10,7 @@ from masterloom.operators.lookup import (
     one_row_per_key,
 )
 from masterloom.operators.mapping import apply_mapping
-from masterloom.operators.phones import normalize_phones, standardize_phones
+from masterloom.operators.phones import check_foreign, normalize_phones, standardize_phones
 from masterloom.operators.schema import (
     add_audit,
     conform,
@@ -28,6 +28,7 @@ __all__ = [
     "apply_mapping",
     "attach",
     "changed_keys",
+    "check_foreign",
     "conform",
     "enrich_reference",
     "fits_broadcast",

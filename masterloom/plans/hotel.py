@@ -116,6 +116,7 @@ def silver_batch(
     dial_plan: DataFrame,
     code_mode: str = "strip",
     broadcast: bool | None = None,
+    foreign: bool = False,
 ) -> DataFrame:
     """The silver rows of one load of hotels, without audit columns.
 
@@ -135,7 +136,7 @@ def silver_batch(
         }
     )
     phoned = standardize_phones(
-        keyed, spec.PHONES, "iso2char", dial_plan, drop_raw=True, broadcast=broadcast
+        keyed, spec.PHONES, "iso2char", dial_plan, drop_raw=True, broadcast=broadcast, foreign=foreign
     )
     coded = standardize_property_codes(phoned, spec.PROPERTY_CODES, mode=code_mode)
     standardized = coded.withColumns(
@@ -219,6 +220,8 @@ class HotelRun:
     dial_plan: DataFrame
     tables: HotelTables
     code_mode: str = "strip"
+    # Numbers of other countries have to fit the dial plan of theirs.
+    check_foreign: bool = False
     only_if_changed: bool = False
     # One CSV file, written by one task, instead of a folder of parts.
     single_export: bool = False
@@ -301,7 +304,7 @@ class HotelRun:
         slice_ = batch_slice(self.spark.table(self.tables.bronze_hotel), load.batch_id)
         good, rejects = self._keyed(slice_)
         brands = self.spark.table(self.tables.bronze_brand)
-        batch = silver_batch(good, brands, self.country_ref, self.brand_ref, self.dial_plan, self.code_mode)
+        batch = silver_batch(good, brands, self.country_ref, self.brand_ref, self.dial_plan, self.code_mode, foreign=self.check_foreign)
         with staged(batch, "silver-batch") as rows:
             audited = rows.select("*", *[F.lit(None).cast(_AUDIT_TYPES[c]).alias(c) for c in SILVER_AUDIT])
             self._ensure(self.tables.silver, audited.schema)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from masterloom.operators import Reference, enrich_reference, lookup_join
+from masterloom.operators import Reference, check_foreign, enrich_reference, lookup_join
 from registry import query, table
 
 # A third of the rows has one key, a tenth has none, some keys are unknown.
@@ -74,3 +74,37 @@ def reference_enrich(spark, folder):
             "parent": Reference(region, "id", ["parentname"]),
         },
     ).drop("countryc", "parent")
+
+
+# Two-digit codes, one that regions share, and longer ones that begin with it.
+CODES = """
+    SELECT concat('R', CAST(n_nationkey AS STRING)) AS region,
+           CASE WHEN n_nationkey % 5 = 0 THEN '1' WHEN n_nationkey % 5 = 1 THEN concat('12', CAST(30 + n_nationkey AS STRING))
+                ELSE CAST(20 + n_nationkey AS STRING) END AS country_code,
+           '0' AS trunk_prefix, CAST(6 + n_nationkey % 2 AS INTEGER) AS min_len, CAST(8 + n_nationkey % 3 AS INTEGER) AS max_len
+    FROM nation
+"""
+DIALLED = """
+    SELECT c_custkey, CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN CAST(c_custkey AS STRING)
+      ELSE concat('+', CAST(c_custkey % 60 AS STRING), CASE WHEN c_custkey % 3 = 0 THEN '23' ELSE '' END,
+                  substring('1234567890123', 1, CAST(4 + c_custkey % 9 AS INTEGER))) END AS phone
+    FROM customer
+"""
+
+
+@query(
+    f"""
+    WITH plan AS (SELECT country_code AS code, min(min_len) AS low, max(max_len) AS high FROM ({CODES}) p GROUP BY country_code),
+    dialled AS ({DIALLED}),
+    matched AS (
+      SELECT c_custkey, phone, code, low, high, row_number() OVER (PARTITION BY c_custkey ORDER BY length(code) DESC) AS rn
+      FROM dialled LEFT JOIN plan ON starts_with(phone, '+' || code))
+    SELECT c_custkey, CASE WHEN NOT starts_with(phone, '+') OR length(phone) - 1 - length(code) BETWEEN low AND high THEN phone END AS phone
+    FROM matched WHERE rn = 1
+    """
+)
+def phone_foreign(spark, folder):
+    """The longest dial code that begins a number decides whether it can be one."""
+    codes = spark.sql(CODES.replace("FROM nation", "FROM {nation}"), nation=table(spark, folder, "nation"))
+    dialled = spark.sql(DIALLED.replace("FROM customer", "FROM {customer}"), customer=table(spark, folder, "customer"))
+    return check_foreign(dialled, ["phone"], codes)

@@ -11,6 +11,7 @@ from masterloom.context import RunContext
 from masterloom.operators import (
     Reference,
     apply_mapping,
+    check_foreign,
     conform,
     enrich_reference,
     fits_broadcast,
@@ -25,6 +26,7 @@ from masterloom.operators import (
     string_schema,
     upsert,
 )
+from masterloom.operators.phones import dial_heads
 
 QUICK = settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -269,3 +271,16 @@ def test_key_profile(spark):
     df = spark.createDataFrame([("aa",), ("aa",), ("b",)], "k string")
     assert tuple(key_profile(df, ["k"])) == (3, 2, 2, 3)
     assert tuple(key_profile(df.limit(0), ["k"])) == (0, 0, 0, 0)
+
+
+def test_foreign_numbers_fit_the_longest_code(spark):
+    plan = spark.createDataFrame(
+        [("US", "1", 10, 10), ("CA", "1", 10, 10), ("BS", "1242", 7, 7), ("GB", "44", 9, 10), ("DE", "49", 7, 11), ("XX", None, 1, 1)],
+        "region string, country_code string, min_len int, max_len int",
+    )
+    numbers = ["+12025550123", "+12425550123", "+1242555012", "+442079460000", "+44207", "+9991234567", "+4930123456", "0301", None, "", "+"]
+    df = spark.createDataFrame([(i, n, n) for i, n in enumerate(numbers)], "i int, `a.b` string, other string")
+    got = [r[1] for r in check_foreign(df, ["a.b"], plan).orderBy("i").collect()]
+    assert got == ["+12025550123", "+12425550123", None, "+442079460000", None, None, "+4930123456", "0301", None, "", None]
+    with pytest.raises(ValueError, match="12345"):
+        dial_heads(spark.createDataFrame([("12345", 1, 2)], "country_code string, min_len int, max_len int"))
