@@ -26,15 +26,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/masterloom-llm"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """The rows, written to the shared folder and read back.
 
     Cuts the lineage: what follows survives the loss of any executor and is not
     computed again.  The files stay until ``discard`` or until the folder is cleared.
+    ``codec`` is for wide rows, where the session's own takes more room.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged.staged_at = path
     return staged

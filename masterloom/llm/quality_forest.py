@@ -258,9 +258,13 @@ def statistics_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with their statistics, written to the shared folder, and the name of that column."""
+    """The documents that pass the base rules, with their statistics, and the name of that column.
+
+    Written to the shared folder: ``fit`` and ``keep_good`` need no others.
+    """
     stats = fresh(docs, "stats")
-    return stage(docs.withColumn(stats, rule_statistics(column(text_col))), "measured"), stats
+    passing = docs.withColumn(stats, rule_statistics(column(text_col))).filter(~base_failed(stats))
+    return stage(passing, "measured", codec="zstd"), stats
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text", stats: str | None = None) -> DataFrame:

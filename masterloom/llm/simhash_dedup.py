@@ -113,7 +113,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     The documents are written down with their fingerprints, which are computed once.
     """
     fp, turn, k_id, k_fp = (fresh(docs, stem) for stem in ("fp", "turn", "k_id", "k_fp"))
-    rows = stage(docs.withColumn(fp, fingerprints(column(text_col), shingle)), "simhash-documents")
+    rows = stage(docs.withColumn(fp, fingerprints(column(text_col), shingle)), "simhash-documents", codec="zstd")
     groups = _components(rows.select(column(id_col).alias("id"), F.col(fp).alias("fp")), radius)
     kept = groups.groupBy("root").agg(F.min(F.struct(F.isnull("id"), F.col("id"), F.col("fp"))).alias("k"))
     kept = kept.select(F.col("k.id").alias(k_id), F.col("k.fp").alias(k_fp))
