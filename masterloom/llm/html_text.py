@@ -8,14 +8,17 @@ rules of style elements) and writes all other text: white space folded as in a b
 blocks on lines of their own with blank lines for margins, ``pre`` as it is, list items
 with their markers, nested and indented, and tables as aligned columns.
 
-Both work on explicit stacks in time linear in the page, so depth does not matter.  A
-null page gives null and an empty one an empty text; markup that never ends is read to
+Both work on explicit stacks, and an end tag finds what it closes by the places of open
+elements, so depth does not matter.  Columns are aligned to their widest cell; only where
+blanks would come to more than ``PADDING`` times the page are the widest columns of a table
+narrowed until they do not.  Lists and quotes indent up to ``MOST_INDENT`` characters, and
+deeper ones stay there.  So the text is linear in the page.  A null page gives null and an empty one an empty text; markup that never ends is read to
 the end.  Repeated rows give the same text; extra columns are kept.
 """
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -68,16 +71,21 @@ _COMMENT_END = re.compile(r"--!?>")
 _STYLE_TOKEN = re.compile(r"[{};]|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'", re.S)
 _STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SCREEN = re.compile(r"@media\s*(?:(?:only\s+)?(?:screen|all))?", re.I)
-_SELECTOR = re.compile(r"[.#]?[a-zA-Z_][\w-]*")
+_SELECTOR = re.compile(r"[.#][a-zA-Z_][\w-]*|[a-zA-Z][\w-]*(?:[.#][a-zA-Z_][\w-]*)?")
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b\s*(!\s*important)?", re.I)
 _RIGHT = re.compile(r"(?:^|;)\s*text-align\s*:\s*right\b", re.I)
 _PRE_STYLE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(?:pre|pre-wrap|break-spaces)\b", re.I)
-#: Cells are padded up to this width; wider ones run over, so a table stays linear in its text.
-WIDEST = 60
-#: Columns that a cell may span.
-MOST_SPAN = 100
+#: Values of ``display`` that make a block, and those that make none.
+BLOCK_DISPLAYS = frozenset("block flex flow-root grid list-item table".split())
+INLINE_DISPLAYS = frozenset("contents inline inline-block inline-flex inline-grid inline-table".split())
+#: Blanks that align a page's tables, as a multiple of its length.
+PADDING = 16
+#: Where the indent of lists and quotes stops to grow.
+MOST_INDENT = 200
+#: Fixed value: columns that a cell may span, by the HTML standard.
+MOST_SPAN = 1000
 
 
 class Element:
@@ -95,8 +103,8 @@ class Builder:
     def __init__(self) -> None:
         self.root = Element("#page", {})
         self.open = [self.root]
-        #: How many elements of each tag are open, so that no search walks a deep page in vain.
-        self.depth: Counter[str] = Counter()
+        #: Places in ``open`` of each tag's elements, so that no search walks a deep page.
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
         self.styles: list[str] = []
         self.title = ""
 
@@ -166,9 +174,7 @@ class Builder:
 
     def _before_table(self, text: str) -> None:
         """Text in a table but in no cell is shown before the table."""
-        at = len(self.open) - 1
-        while at and self.open[at].tag != "table":
-            at -= 1
+        at = self._innermost(("table",))
         if not at:
             self.open[-1].children.append(text)
             return
@@ -176,7 +182,7 @@ class Builder:
         outer.insert(len(outer) - 1, text)
 
     def _start(self, tag: str, attributes: dict[str, str]) -> None:
-        if tag in ("html", "body", "head") and self.depth[tag]:
+        if tag in ("html", "body", "head") and self.places[tag]:
             return
         if tag == "body":
             self._close(("head",), ())
@@ -197,23 +203,22 @@ class Builder:
     def _push(self, tag: str, attributes: dict[str, str]) -> None:
         element = Element(tag, attributes)
         self.open[-1].children.append(element)
+        self.places[tag].append(len(self.open))
         self.open.append(element)
-        self.depth[tag] += 1
 
     def _pop(self) -> None:
-        self.depth[self.open.pop().tag] -= 1
+        self.places[self.open.pop().tag].pop()
+
+    def _innermost(self, tags) -> int:
+        """The place of the innermost open one of ``tags``; 0 for none."""
+        return max((self.places[tag][-1] for tag in tags if self.places[tag]), default=0)
 
     def _close(self, tags: tuple[str, ...], barriers) -> None:
         """Close the innermost open one of ``tags`` unless a barrier is open inside it."""
-        if not any(self.depth[tag] for tag in tags):
-            return
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in tags:
-                while len(self.open) > at:
-                    self._pop()
-                return
-            if self.open[at].tag in barriers:
-                return
+        at = self._innermost(tags)
+        if at and at >= self._innermost(barriers):
+            while len(self.open) > at:
+                self._pop()
 
     def _end(self, tag: str) -> None:
         if tag in ("html", "body", "br") or tag in VOID:
@@ -226,14 +231,8 @@ class Builder:
         self._close((tag,), ("table",) if own and tag != "table" else () if own else SCOPE)
 
     def _in_scope(self, tag: str) -> bool:
-        if not self.depth[tag]:
-            return False
-        for element in reversed(self.open):
-            if element.tag == tag:
-                return True
-            if element.tag in SCOPE:
-                return False
-        return False
+        at = self._innermost((tag,))
+        return at > 0 and at >= self._innermost(SCOPE)
 
 
 class Writer:
@@ -244,14 +243,14 @@ class Writer:
         self.line: list[str] | None = None
         self.space = False
         self.gap = 0
-        self.prefix: list[str] = []
+        self.prefix: list[str] = [""]
         self.first: str | None = None
 
     def _begin(self) -> None:
         if self.lines and self.gap > 1:
             self.lines.append("")
         self.gap = 0
-        self.line = [self.first if self.first is not None else "".join(self.prefix)]
+        self.line = [self.first if self.first is not None else self.prefix[-1]]
         self.first = None
 
     def text(self, text: str) -> None:
@@ -295,9 +294,9 @@ class Writer:
         self.gap = max(self.gap, gap)
 
     def push(self, marker: str, again: str) -> None:
-        base = self.first if self.first is not None else "".join(self.prefix)
-        self.first = base + marker
-        self.prefix.append(again)
+        base = self.first if self.first is not None else self.prefix[-1]
+        self.first = base[:MOST_INDENT] + marker
+        self.prefix.append((self.prefix[-1] + again)[:MOST_INDENT])
 
     def pop(self) -> None:
         self.prefix.pop()
@@ -323,7 +322,8 @@ class Writer:
 class Renderer:
     """Writes the visible text of a tree; a table's cells have writers of their own."""
 
-    def __init__(self, styles: list[str]) -> None:
+    def __init__(self, styles: list[str], length: int) -> None:
+        self.room = PADDING * length
         self.unseen, self.invisible = _simple_rules(styles)
         self.writer = Writer()
         self.outer: list[Writer] = []
@@ -358,7 +358,7 @@ class Renderer:
             return False
         if parent.tag == "details" and tag != "summary" and "open" not in parent.attributes:
             return False
-        if self.unseen and (any(f".{c}" in self.unseen for c in attributes.get("class", "").split()) or f"#{attributes.get('id')}" in self.unseen):
+        if self.unseen and not self.unseen.isdisjoint(_names(element)):
             return "display:" in attributes.get("style", "").replace(" ", "") and not _HIDDEN_STYLE.search(attributes["style"])
         return not _HIDDEN_STYLE.search(attributes.get("style", ""))
 
@@ -367,8 +367,7 @@ class Renderer:
         if found := _VISIBILITY.search(attributes.get("style", "")):
             return found[1].lower() == "visible"
         if self.invisible:
-            names = {element.tag, f"#{attributes.get('id')}", *(f".{c}" for c in attributes.get("class", "").split())}
-            if names & self.invisible:
+            if not self.invisible.isdisjoint(_names(element)):
                 return False
         return self.visible[-1]
 
@@ -382,7 +381,9 @@ class Renderer:
         if tag == "br":
             if self.visible[-1]:
                 writer.new_line()
-        elif tag in BLOCKS:
+        elif tag == "input" and self.visible[-1] and element.attributes.get("type", "").lower() in ("submit", "button", "reset"):
+            writer.text(element.attributes.get("value", ""))
+        elif _is_block(element):
             nested = tag in ("ul", "ol", "menu", "dl") and self.lists
             writer.block(2 if tag in SPACED and not nested else 1)
         if tag in ("ul", "ol", "menu"):
@@ -434,22 +435,42 @@ class Renderer:
             across = min(max(_number(element.attributes.get("colspan"), 1), 1), MOST_SPAN)
             self.tables[-1][-1].append((lines, across, max(_number(element.attributes.get("rowspan"), 1), 1), right))
         elif tag == "table" and self.tables:
-            self.writer.rows(table_lines(self.tables.pop()))
+            lines, padded = table_lines(self.tables.pop(), self.room)
+            self.room -= padded
+            self.writer.rows(lines)
         elif tag in ("ul", "ol", "menu"):
             self.lists.pop()
-        if tag in BLOCKS:
+        if _is_block(element):
             nested = tag in ("ul", "ol", "menu", "dl") and self.lists
             self.writer.block(2 if tag in SPACED and not nested else 1)
         if tag in ("li", "blockquote", "dd"):
             self.writer.pop()
 
 
+def _names(element: Element) -> Iterator[str]:
+    """What a simple selector, or a tag with one, calls the element."""
+    tag, attributes = element.tag, element.attributes
+    yield tag
+    for name in [f".{c}" for c in attributes.get("class", "").split()] + ([f"#{attributes['id']}"] if "id" in attributes else []):
+        yield name
+        yield tag + name
+
+
+def _is_block(element: Element) -> bool:
+    """Whether it stands on lines of its own: by its style attribute, else by its tag."""
+    if "style" in element.attributes:
+        shown = [found[1].lower() for found in _DISPLAY.finditer(element.attributes["style"])]
+        if shown and shown[-1] in BLOCK_DISPLAYS | INLINE_DISPLAYS:
+            return shown[-1] in BLOCK_DISPLAYS
+    return element.tag in BLOCKS
+
+
 def _number(text: str | None, otherwise: int) -> int:
     return int(text) if text and re.fullmatch(r"-?[0-9]{1,9}", text.strip()) else otherwise
 
 
 def _simple_rules(styles: list[str]) -> tuple[frozenset[str], frozenset[str]]:
-    """Tags, ``.classes`` and ``#ids`` that the page's style elements do not show.
+    """Tags, ``.classes``, ``#ids`` and tags with one of these that the page's style elements do not show.
 
     Of rules on the same selector the last one counts, but after one that is important.
     """
@@ -505,40 +526,71 @@ def _plain_rules(style: str) -> Iterator[tuple[str, str]]:
         yield head, body + style[begin:]
 
 
-def table_lines(rows: list[list[tuple[list[str], int, int, bool]]]) -> list[str]:
-    """Aligned lines of a table whose cells are (lines, columns, rows, right-aligned)."""
-    grid, held = [], {}  # held: rows still to come that a cell from above covers, by column
-    for row in rows:
-        placed, at = [], 0
+def table_lines(rows: list[list[tuple[list[str], int, int, bool]]], room: int) -> tuple[list[str], int]:
+    """Aligned lines of a table whose cells are (lines, columns, rows, right-aligned), and their blanks.
+
+    The columns are as wide as their widest cells, or narrowed alike until blanks take ``room`` at most.
+    """
+    grid, held = [], []  # held: columns that cells from above cover, as (first, behind the last, last row)
+    for number, row in enumerate(rows):
+        if not row:
+            continue
+        held = [span for span in held if span[2] >= number]
+        placed, begun, at, after = [], [], 0, 0
         for lines, across, down, right in row:
-            while held.get(at, 0):
-                at += 1
+            while after < len(held) and held[after][0] <= at:
+                at, after = max(at, held[after][1]), after + 1
             placed.append((at, lines, across, right))
-            for covered in range(at, at + across):
-                if down > 1:
-                    held[covered] = down
+            if down > 1:
+                if begun and begun[-1][1:] == (at, number + down - 1):
+                    begun[-1] = begun[-1][0], at + across, number + down - 1
+                else:
+                    begun.append((at, at + across, number + down - 1))
             at += across
-        held = {c: n - 1 for c, n in held.items() if n > 1}
+        held = sorted(held + begun)
         grid.append(placed)
-    widths: dict[int, int] = {}
+    # A column where no cell begins takes no room.
+    widths: dict[int, int] = {at: 0 for at in sorted({at for row in grid for at, *_ in row})}
     for at, lines, across, _ in (cell for row in grid for cell in row):
         if across == 1:
-            widths[at] = max(widths.get(at, 0), min(max(map(len, lines), default=0), WIDEST))
-    starts, place = {}, 0
-    for at in range(max(widths, default=-1) + 1):
-        starts[at] = place
-        place += widths.get(at, 0) + 3
-    made = []
-    for row in grid:
-        for number in range(max((len(lines) for _, lines, _, _ in row), default=0)):
-            text = ""
+            widths[at] = max(widths[at], max(map(len, lines), default=0))
+    heights = [max((len(lines) for _, lines, _, _ in row), default=0) for row in grid]
+
+    def blanks(most: int) -> int:
+        ends = _starts(widths, most)
+        return sum(height * ends[row[-1][0]] for row, height in zip(grid, heights))
+
+    most = max(widths.values(), default=0)
+    if blanks(most) > room:
+        low, high = -3, most  # at -3 no column takes room, so nothing is aligned
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if blanks(middle) <= room else (low, middle - 1)
+        most = low
+    starts, made = _starts(widths, most), []
+    for row, height in zip(grid, heights):
+        for number in range(height):
+            text, length = [], 0
             for at, lines, across, right in row:
                 part = lines[number] if number < len(lines) else ""
-                if part and at:
-                    text = text.ljust(starts.get(at, place) - 3) + " | "
-                text += part.rjust(widths.get(at, 0)) if part and right and across == 1 else part
-            made.append(text)
-    return made
+                if not part:
+                    continue
+                if at:
+                    text.append(" " * (starts[at] - 3 - length) + " | ")
+                    length += len(text[-1])
+                text.append(part.rjust(min(widths[at], most)) if right and across == 1 else part)
+                length += len(text[-1])
+            made.append("".join(text))
+    return made, blanks(most)
+
+
+def _starts(widths: dict[int, int], most: int) -> dict[int, int]:
+    """Where columns begin if none is wider than ``most``."""
+    starts, place = {}, 0
+    for at, width in widths.items():
+        starts[at] = place
+        place += min(width, most) + 3
+    return starts
 
 
 def page_text(page: str | None) -> str | None:
@@ -547,7 +599,7 @@ def page_text(page: str | None) -> str | None:
         return None
     builder = Builder()
     tree = builder.parse(page)
-    return Renderer(builder.styles).render(tree)
+    return Renderer(builder.styles, len(page)).render(tree)
 
 
 def visible_text(page: Column) -> Column:
@@ -562,6 +614,6 @@ def visible_text(page: Column) -> Column:
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", into: str = "text") -> DataFrame:
-    """``pages`` with the visible text instead of the page."""
+    """``pages`` with the visible text instead of the page; a column named like it is replaced."""
     kept = [column(c) for c in pages.columns if c != html_col and c.lower() != into.lower()]
     return pages.select(*kept, visible_text(column(html_col)).alias(into))

@@ -75,6 +75,62 @@ def test_broken_and_deep_pages_end_soon(page):
     assert time.monotonic() - begin < 20
 
 
+LAID_OUT = {
+    f"<table><tr><td>{'a' * 70}<td>b<tr><td>c<td>d</table>": f"{'a' * 70} | b\nc{' ' * 69} | d",
+    "<table><tr><td colspan=300>a<td>b<tr><td>c<td>d</table>": "a     | b\nc | d",
+    "<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><tr><td>f<td>g<td>h</table>": "a | b | c\nd     | e\nf | g | h",
+    "<span style='display:block'>A</span><span style='display: block'>B</span>": "A\nB",
+    "<div style='display:inline'>A</div><div style='display:inline'>B</div>": "AB",
+    "<style>p.note{display:none} b#x{display:none}</style><p class='big note'>no<div class=note>yes <b id=x>no</b><i id=x>it": "yes it",
+    "<form><input type=submit value=Go> <input type=text value=no><input type=submit value=no hidden></form>": "Go",
+    "<i><button><b>x</i>y</button>z": "xyz",
+}
+
+
+@pytest.mark.parametrize("page", LAID_OUT)
+def test_layout(page):
+    assert html_text.page_text(page) == LAID_OUT[page]
+
+
+class Walking(html_text.Builder):
+    """Finds what an end tag closes by walking up from the innermost element, as the definition says."""
+
+    def _close(self, tags, barriers):
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at].tag in tags:
+                while len(self.open) > at:
+                    self._pop()
+                return
+            if self.open[at].tag in barriers:
+                return
+
+    def _in_scope(self, tag):
+        found = next((e.tag for e in reversed(self.open) if e.tag == tag or e.tag in html_text.SCOPE), None)
+        return found == tag
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trees_equal_a_walk(seed, monkeypatch):
+    rng = random.Random(seed)
+    tags = "p div b i li ul ol table tr td th caption button select option dl dt dd h1 h2 span object body html".split()
+    soups = ["".join(rng.choice([f"<{t}>", f"</{t}>", rng.choice("xyz ")]) for t in rng.choices(tags, k=rng.randint(1, 60))) for _ in range(1500)]
+    fast = [html_text.page_text(s) for s in soups]
+    monkeypatch.setattr(html_text, "Builder", Walking)
+    assert fast == [html_text.page_text(s) for s in soups]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<i><button>" + "<b>" * 200_000 + "</i>" * 200_000, "<ul><li>x" * 60_000, "<blockquote>x" * 60_000, "<ul><li>" * 60_000 + "x",
+     "<table><tr><td>" + "w" * 300_000 + "<td>x" + "<tr><td>a<td>b" * 20_000, "<table><tr>" + "<td colspan=1000>x" * 30_000,
+     "<table><tr>" + "<td colspan=1000 rowspan=9999>x" * 20_000 + "<tr><td>y" * 5_000],
+)
+def test_hostile_pages_stay_linear(page):
+    begin = time.monotonic()
+    assert len(html_text.page_text(page)) <= 64 * len(page)
+    assert time.monotonic() - begin < 20
+
+
 def test_generated_text_comes_back():
     rng = random.Random(1)
     for _ in range(50):
