@@ -11,6 +11,9 @@ Everything drawn follows from the seed and the rows' hashes: a task that runs ag
 the same, and the matrix (parts by blocks, each of about ``ROWS`` rows) is all that the
 driver holds.
 
+A row's part is a hash of the whole row.  Rows equal in every column, if they are many,
+are counted instead and dealt to all parts in turn, so that no part is larger for them.
+
 Shard sizes differ by one at most; with fewer rows than shards some shards are empty, and
 no rows give none.  Null ids and values count as such; rows that are equal in every
 column are interchangeable.  Extra columns are kept.
@@ -20,10 +23,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from masterloom.llm.common import fresh, quoted, stage
+from masterloom.llm.common import fresh, quoted
 
 #: Rows of a part or a block, at least where there are that many.
 ROWS = 2_000_000
@@ -32,6 +35,10 @@ ROWS = 2_000_000
 MOST_PARTS = 1000
 #: Parts of a small table.
 LEAST_PARTS = 64
+#: Equal rows are dealt to the parts in turn if they are more than this, and than a share of a part.
+MANY_EQUAL = 1000
+#: Equal rows that one task makes out of their count.
+COPIES = 100_000
 #: Ranges of places per part in the join with the matrix.
 RANGES = 256
 #: Up to this many rows numpy draws hypergeometric numbers itself.
@@ -91,16 +98,14 @@ def shard(df: DataFrame, shards: int, seed: int = 0, rows_each: int = ROWS) -> D
     The table is read three times: pass a written one if it is costly to make.
     """
     spark = df.sparkSession
-    part, place = fresh(df, "part"), fresh(df, "place")
+    part, place, hashed, number_in_part = (fresh(df, stem) for stem in ("part", "place", "hash", "number"))
     columns = [fresh(df, stem) for stem in ("m_part", "shard", "m_begin", "m_from", "m_to", "m_range")]
     m_part, number, m_begin, m_from, m_to, m_range = columns
-    whole = [F.col(quoted(c)) for c in df.columns]
     rows = df.count()
     rows_each = max(rows_each, -(-rows // MOST_PARTS))
     # From the rows alone, so that the result does not depend on the session's settings.
     n_parts = max(1, -(-rows // rows_each), min(LEAST_PARTS, rows // 64))
-    keyed = df.withColumn(part, F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(n_parts)).cast("int"))
-    counted = {r[part]: r["count"] for r in keyed.groupBy(part).count().collect()}
+    keyed, counted = _parts(df, part, hashed, rows, n_parts, seed)
     sizes = shard_sizes(rows, shards)
     blocks = [
         (number, begin, min(rows_each, size - begin)) for number, size in enumerate(sizes) for begin in range(0, size, rows_each)
@@ -118,22 +123,68 @@ def shard(df: DataFrame, shards: int, seed: int = 0, rows_each: int = ROWS) -> D
     ]
     kinds = ("int", "int", "long", "long", "long", "long")
     dealt = spark.createDataFrame(pd.DataFrame(cells, columns=columns), ", ".join(map(" ".join, zip(columns, kinds))))
-    within = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed + 1), *whole), *_sortable(df))
+    # Numbers tell equal rows apart, so that they are permuted like any others.
+    numbered = Window.partitionBy(part).orderBy(hashed, *_sortable(df))
+    keyed = keyed.withColumn(number_in_part, F.row_number().over(numbered))
+    within = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed + 1), hashed, number_in_part), number_in_part)
     permuted = keyed.withColumn(place, F.row_number().over(within) - 1)
     inside = (F.col(place) >= F.col(m_from)) & (F.col(place) < F.col(m_to))
     on = (F.col(part) == F.col(m_part)) & (F.floor(F.col(place) / width) == F.col(m_range)) & inside
-    kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
-    sent = permuted.join(F.broadcast(dealt), on).select(*[F.col(quoted(c)) for c in kept], part, number, m_begin)
-    again = [F.col(quoted(c)) for c in kept]
-    in_block = Window.partitionBy(number, m_begin).orderBy(F.xxhash64(F.lit(seed + 2), *again), part, *_sortable(df, kept))
+    kept = [F.col(quoted(c)) for c in df.columns if c.lower() not in ("shard", "slot")]
+    sent = permuted.join(F.broadcast(dealt), on).select(*kept, part, hashed, number_in_part, number, m_begin)
+    again = F.xxhash64(F.lit(seed + 2), part, hashed, number_in_part)
+    in_block = Window.partitionBy(number, m_begin).orderBy(again, part, number_in_part)
     slot = (F.col(m_begin) + F.row_number().over(in_block) - 1).cast("long")
-    return sent.select(*again, F.col(number).alias("shard"), slot.alias("slot"))
+    return sent.select(*kept, F.col(number).alias("shard"), slot.alias("slot"))
+
+
+def _whole(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(c)) for c in df.columns]
+
 
+def _parts(df: DataFrame, part: str, hashed: str, rows: int, n_parts: int, seed: int) -> tuple[DataFrame, dict[int, int]]:
+    """``df`` with the part and the hash of each row, and how many rows each part has.
 
-def _sortable(df: DataFrame, columns: list[str] | None = None) -> list:
+    At most ``4 * n_parts`` hashes are of rows that are many; only these come to the driver.
+    """
+    count, number, step, first = (fresh(df, stem) for stem in ("count", "number", "step", "first"))
+    hash_ = F.xxhash64(F.lit(seed), *_whole(df))
+    own = F.pmod(F.col(hashed), F.lit(n_parts)).cast("int")
+    with_hash = df.withColumn(hashed, hash_)
+    groupable = all(f.dataType.typeName() != "variant" for f in df.schema.fields)
+    most = max(MANY_EQUAL, rows // (4 * n_parts)) if groupable else rows
+    counts = with_hash.groupBy(hashed).agg(F.count(F.lit(1)).alias(count))
+    per_part = counts.groupBy(own.alias(part)).agg(
+        F.sum(F.when(F.col(count) <= most, F.col(count)).otherwise(0)).alias("few"),
+        F.collect_list(F.when(F.col(count) > most, F.struct(F.col(hashed).alias("hash"), F.col(count).alias("count")))).alias("many"),
+    )
+    found = per_part.collect()
+    counted = dict.fromkeys(range(n_parts), 0) | {r[part]: r["few"] for r in found}
+    many = [(r[part], m["hash"], m["count"]) for r in found for m in r["many"]]
+    for begin, _, n in many:
+        for k in range(min(n, n_parts)):
+            counted[(begin + k) % n_parts] += n // n_parts + (k < n % n_parts)
+    if not many:
+        return with_hash.withColumn(part, own), counted
+    listed = F.col(hashed).isin([h for _, h, _ in many])
+    few = with_hash.filter(~listed).withColumn(part, own)
+    groups = with_hash.filter(listed).groupBy(hashed, *_whole(df)).agg(F.count(F.lit(1)).alias(count))
+    # Rows of one hash that are not equal are numbered on, so that each number is met once.
+    before = Window.partitionBy(hashed).orderBy(*_sortable(df)).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn(first, F.coalesce(F.sum(count).over(before), F.lit(0)))
+    steps = groups.withColumn(step, F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / COPIES))))
+    steps = steps.repartition(F.col(hashed), F.col(step))
+    ends = F.least(F.col(count), (F.col(step) + 1) * COPIES) - 1
+    copies = steps.withColumn(number, F.explode(F.sequence(F.col(step) * COPIES, ends)))
+    turn = F.pmod(F.col(hashed), F.lit(n_parts)) + F.col(first) + F.col(number)
+    dealt = F.pmod(turn, F.lit(n_parts)).cast("int")
+    return few.unionByName(copies.select(*_whole(df), hashed, dealt.alias(part))), counted
+
+
+def _sortable(df: DataFrame) -> list[Column]:
     """Columns that break ties of the hash; maps and the like cannot be ordered."""
     simple = {f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")}
-    return [F.col(quoted(c)) for c in columns or df.columns if c in simple]
+    return [F.col(quoted(c)) for c in df.columns if c in simple]
 
 
 def write_shards(df: DataFrame, shards: int, path: str, seed: int = 0) -> None:
@@ -144,8 +195,16 @@ def write_shards(df: DataFrame, shards: int, path: str, seed: int = 0) -> None:
 
 
 def shard_digests(docs: DataFrame, shards: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``size``, ``text_crc32`` of every document with its shard and slot."""
-    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
-    size = (F.octet_length(text) + 8).cast("long").alias("size")
-    narrow = docs.select(F.col(quoted(id_col)).alias("id"), size, F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    return shard(stage(narrow, "digests"), shards, seed)
+    """``id``, ``size``, ``text_crc32`` of every document as it lies in its shard, with shard and slot.
+
+    The documents themselves are permuted and exchanged; a null text counts as an empty one.
+    """
+    id_, text = fresh(docs, "doc_id"), fresh(docs, "text")
+    # Names of their own, as a column named like an output is replaced.
+    rows = docs.withColumn(id_, F.col(quoted(id_col))) if id_col.lower() in ("shard", "slot") else docs
+    rows = rows.withColumn(text, F.col(quoted(text_col))) if text_col.lower() in ("shard", "slot") else rows
+    placed = shard(rows, shards, seed)
+    doc = F.col(id_ if id_ in rows.columns else quoted(id_col))
+    body = F.coalesce(F.col(text if text in rows.columns else quoted(text_col)), F.lit(""))
+    size = (F.octet_length(body) + 8).cast("long").alias("size")
+    return placed.select(doc.alias("id"), size, F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), "shard", "slot")

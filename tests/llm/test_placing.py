@@ -254,6 +254,40 @@ def test_the_shuffle_is_uniform(spark):
     assert hits.sum(0).tolist() == [72] * 4 and ((hits - 3) ** 2 / 3).sum() < 130
 
 
+def test_equal_rows_are_spread_over_all_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "MANY_EQUAL", 100)
+    monkeypatch.setattr(sharding, "COPIES", 64)
+    ids = F.when(F.col("id") >= 5000, F.col("id"))
+    df = spark.range(6000).select(ids.alias("doc_id"), F.when(F.col("id") < 3000, F.lit("same")).alias("text"), F.lit(1.5).alias("part"))
+    keyed, counted = sharding._parts(df, "__part", "__hash", 6000, 64, seed=1)
+    assert {r["__part"]: r["count"] for r in keyed.groupBy("__part").count().collect()} == counted
+    assert max(counted.values()) < 2 * 6000 / 64
+    out = sharding.shard(df, 7, seed=1, rows_each=500)
+    assert Counter((r["doc_id"], r["text"], r["part"]) for r in out.collect()) == Counter(map(tuple, df.collect()))
+    slots = [sorted(r["slots"]) for r in out.groupBy("shard").agg(F.collect_list("slot").alias("slots")).collect()]
+    assert sorted(map(len, slots)) == sorted(sharding.shard_sizes(6000, 7)) and all(s == list(range(len(s))) for s in slots)
+    # Each shard gets about its share of the equal rows.
+    equal = [r["count"] for r in out.filter("text = 'same'").groupBy("shard").count().collect()]
+    assert len(equal) == 7 and all(abs(n - 3000 / 7) < 90 for n in equal)
+
+
+def test_digests_are_those_of_the_documents_in_their_shards(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    want = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    digests = sharding.shard_digests(docs, 24).collect()
+    assert {r["id"]: (r["size"], r["text_crc32"]) for r in digests} == {i: (len(t) + 8, zlib.crc32(t)) for i, t in want.items()}
+    sharding.write_shards(docs, 24, str(tmp_path / "shards"))
+    written = spark.read.parquet(str(tmp_path / "shards")).collect()
+    assert {r["doc_id"]: (r["text"] or "").encode() for r in written} == want and len(written) == len(digests)
+    assert {(r["doc_id"], r["shard"], r["slot"]) for r in written} == {(r["id"], r["shard"], r["slot"]) for r in digests}
+
+
+def test_odd_columns_of_digests(spark):
+    rows = spark.createDataFrame([(1, "é", "x"), (None, None, None), (1, "é", "x")], "slot long, shard string, lang string")
+    out = sharding.shard_digests(rows, 2, id_col="slot", text_col="Shard").collect()
+    assert sorted((r["id"] or 0, r["size"], r["text_crc32"]) for r in out) == [(0, 8, 0), *[(1, 10, zlib.crc32("é".encode()))] * 2]
+
+
 # --- extra columns
 
 
