@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from masterloom.llm.common import fresh, quoted
 
-#: Rows of a part or a block, at least where there are that many.
-ROWS = 2_000_000
+#: Rows of a part or a block, at least where there are that many: a task sorts so many whole rows.
+ROWS = 250_000
 #: Parts and blocks at most (blocks: and one more per shard); larger tables have larger ones,
 #: which Spark sorts outside memory.  So the matrix has at most about a million cells.
 MOST_PARTS = 1000
