@@ -49,7 +49,8 @@ from masterloom.sources import (
     ensure_table,
     export_csv,
     file_stamps,
-    list_files,
+    footer_stamps,
+    keep_newest,
     merge_table,
     read_drop,
     replace_partition,
@@ -84,11 +85,12 @@ class HotelTables:
     buckets: int = 0
     # Or partitions by key range, of which an upsert reads and writes only its own; 0 for none.
     ranges: int = 0
-    # What each load has reached, which keys it changes, and which rows it could not take;
-    # beside the silver table where no names are given.
+    # What each load has reached, which keys it changes, which rows it could not take, and
+    # the newest row of each brand; beside the silver table where no names are given.
     ledger: str = ""
     changes: str = ""
     rejected: str = ""
+    brands: str = ""
 
     def named(self, role: str) -> str:
         return getattr(self, role) or f"{self.silver}_{role}"
@@ -267,26 +269,25 @@ class HotelRun:
         return True
 
     def _found(self, kind: str, path: str) -> list[Load]:
-        """The drop's files to load, oldest first.  Only their timestamps are read."""
+        """The drop's files to load, oldest first: their stamps are in the footers, others' columns are scanned."""
         try:
-            files = list_files(self.spark, path)
+            files = footer_stamps(self.spark, path, TIMESTAMP)
+            if self.every_unseen:
+                files = self.ledger.unseen(files, kind)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 raise
             return []
-        names = None
-        if self.every_unseen:
-            files = self.ledger.unseen(files, kind)
-            names = [r["file"] for r in files.select("file").collect()]
-            if not names:
-                return []
-        rows = read_drop(self.spark, path, names)
-        if rows is None or TIMESTAMP not in [c.lower() for c in rows.columns]:
-            return []
-        stamps = file_stamps(rows, TIMESTAMP).filter(F.col("file_us").isNotNull())
-        if not self.every_unseen:
-            stamps = stamps.orderBy(F.desc("file_us"), F.desc("file")).limit(1)
-        dated = stamps.join(files, "file").orderBy("file_us", "file").collect()
+        with staged(files, "footers") as listed:
+            stamps = listed.filter("known").select("file", "file_us")
+            names = [r["file"] for r in listed.filter("NOT known").select("file").collect()]
+            rows = read_drop(self.spark, path, names) if names else None
+            if rows is not None and TIMESTAMP in [c.lower() for c in rows.columns]:
+                stamps = stamps.unionByName(file_stamps(rows, TIMESTAMP))
+            stamps = stamps.filter(F.col("file_us").isNotNull())
+            if not self.every_unseen:
+                stamps = stamps.orderBy(F.desc("file_us"), F.desc("file")).limit(1)
+            dated = stamps.join(listed.drop("file_us"), "file").orderBy("file_us", "file").collect()
         return [self._load(kind, r["file"], r["file_us"], r["size"], r["modified_us"]) for r in dated]
 
     def _load(self, kind: str, file: str, file_us: int, size: int, modified_us: int) -> Load:
@@ -294,16 +295,18 @@ class HotelRun:
         return Load("", kind, batch_id, file, file_us, size, modified_us, self.ctx.user, micros(self.ctx.ts))
 
     def bronze(self, load: Load, path: str, table: str) -> None:
-        """Append one file's rows."""
+        """Append one file's rows; of brands, the newest rows are kept up too."""
         rows = sanitize_columns(read_drop(self.spark, path, load.file))
         append_evolving(add_audit(rows, replace(self.ctx, batch_id=load.batch_id), load.file), table, load.batch_id)
+        if load.kind == "brand":
+            self._keep_brands(load)
         self.ledger.reach([load], "bronze")
 
     def silver(self, load: Load, stage: str, summary: RunSummary) -> None:
         """Standardise one load and upsert it; rows that have no key of their own are kept apart."""
         slice_ = batch_slice(self.spark.table(self.tables.bronze_hotel), load.batch_id)
         good, rejects = self._keyed(slice_)
-        brands = self.spark.table(self.tables.bronze_brand)
+        brands = self._brands()
         batch = silver_batch(good, brands, self.country_ref, self.brand_ref, self.dial_plan, self.code_mode, foreign=self.check_foreign)
         with staged(batch, "silver-batch") as rows:
             audited = rows.select("*", *[F.lit(None).cast(_AUDIT_TYPES[c]).alias(c) for c in SILVER_AUDIT])
@@ -318,6 +321,20 @@ class HotelRun:
             self._merge(load, stage, "silver", source, self.tables.silver, stamp, new)
             summary.hotels += source.count()
 
+    def _keep_brands(self, load: Load | None) -> None:
+        """Merge a load's brands into the newest row of each; all that bronze has, where there are none yet."""
+        name, rows = self.tables.named("brands"), self.spark.table(self.tables.bronze_brand)
+        if load and self.spark.catalog.tableExists(name) and not self.spark.table(name).isEmpty():
+            rows = batch_slice(rows, load.batch_id)
+        keep_newest(rows, name, "id", ["name"], [TIMESTAMP, "lastupdatedtimestamp"], self.tables.ranges)
+
+    def _brands(self) -> DataFrame:
+        """The newest row of each brand; the history is read only where a job kept no such table yet."""
+        name = self.tables.named("brands")
+        if not self.spark.catalog.tableExists(name):
+            self._keep_brands(None)
+        return self.spark.table(name)
+
     def gold(self, load: Load, stage: str) -> None:
         """Upsert the silver rows that a load has changed into the wide table of strings."""
         columns = self.tables.gold_columns or spec.gold_columns()

@@ -1,7 +1,9 @@
 """File drops, slices of tables, and table and file sinks."""
 
+from masterloom.sources.current import keep_newest
 from masterloom.sources.drops import NewestFile, file_stamps, latest_batch, list_files, newest_file, read_drop
 from masterloom.sources.export import export_csv
+from masterloom.sources.footers import footer_stamps
 from masterloom.sources.ledger import Load, RunLedger
 from masterloom.sources.slices import batch_slice, utc_text, watermark_slice
 from masterloom.sources.tables import (
@@ -27,6 +29,8 @@ __all__ = [
     "ensure_table",
     "export_csv",
     "file_stamps",
+    "footer_stamps",
+    "keep_newest",
     "latest_batch",
     "list_files",
     "merge_table",

@@ -21,13 +21,13 @@ CTX = RunContext("etl", datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc), "order
 @query(
     """
     SELECT o_orderkey AS orderkeyc, o_custkey AS total, o_orderstatus AS total_2,
-           o_totalprice AS total_3, o_orderpriority AS col_5
+           o_totalprice AS total_3, o_orderdate AS orderdate, o_orderpriority AS col_6
     FROM orders
     """
 )
 def sanitized_columns(spark, folder):
-    orders = table(spark, folder, "orders").drop("o_orderdate")
-    return sanitize_columns(orders.toDF("Order_Key__c", "Total", "TOTAL!", "to tal", "#%"))
+    orders = table(spark, folder, "orders")
+    return sanitize_columns(orders.toDF("Order_Key__c", "Total", "TOTAL!", "to tal", "Order-Date", "#%"))
 
 
 @query(
@@ -52,6 +52,21 @@ def audit_columns(spark, folder):
     )
 
 
+@query("SELECT o_orderkey, TRUE AS by_me, TRUE AS now, TRUE AS one_batch FROM orders")
+def started_run(spark, folder):
+    """A run that is started now is the session user's, at one time, under one batch id."""
+    begin = datetime.now(timezone.utc)
+    ctx = RunContext.start(spark)
+    audited = add_audit(table(spark, folder, "orders").select("o_orderkey"), ctx, "orders.parquet")
+    within = F.col("createdtimestamp").between(F.lit(begin), F.lit(datetime.now(timezone.utc)))
+    return audited.select(
+        "o_orderkey",
+        (F.col("createdby") == F.current_user()).alias("by_me"),
+        (within & (F.col("createdtimestamp") == F.col("lastupdatedtimestamp"))).alias("now"),
+        F.col("batch_id").eqNullSafe(F.lit(ctx.batch_id)).alias("one_batch"),
+    )
+
+
 @query(
     """
     SELECT CAST(o_orderkey AS STRING) AS "Code", o_orderpriority AS "Name",

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from masterloom.sources import append_evolving, ensure_table, export_csv, merge_table
+from masterloom.sources import append_evolving, ensure_table, export_csv, keep_newest, merge_table
 from masterloom.sources.tables import shared_folder, staged
 from registry import query, table
 from registry.upserts import SPLIT, _sides
@@ -88,3 +88,19 @@ def csv_round_trip(spark, folder):
     path = export_csv(rows, f"{shared_folder(spark)}/{_new_name('csv')}", "customers.csv")
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     return spark.read.options(header=True, escape='"', **blanks).schema(rows.schema).csv(path)
+
+
+@query(
+    """
+    SELECT o_custkey, o_orderkey, o_orderpriority, o_orderdate FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) r
+    WHERE rn = 1
+    """
+)
+def newest_of_each_key(spark, folder):
+    """Three loads, the newest rows not in the last one, and one load twice."""
+    name, orders = _new_name("newest"), table(spark, folder, "orders")
+    for load in (1, 2, 0, 1):
+        rows = orders.filter(F.col("o_orderkey") % 3 == load)
+        keep_newest(rows, name, "o_custkey", ["o_orderpriority"], ["o_orderdate", "o_orderkey"], ranges=16)
+    return spark.table(name).select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate")

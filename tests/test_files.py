@@ -8,7 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from masterloom import RunContext
-from masterloom.sources import export_csv, latest_batch, newest_file, read_drop, utc_text, watermark_slice
+from masterloom.sources import (
+    export_csv,
+    file_stamps,
+    footer_stamps,
+    latest_batch,
+    newest_file,
+    read_drop,
+    utc_text,
+    watermark_slice,
+)
 
 T0 = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
@@ -162,3 +171,37 @@ def test_a_context_starts_as_the_sessions_user(spark):
     ctx = RunContext.start(spark, "b1")
     assert ctx.user == spark.sql("SELECT current_user()").first()[0] and ctx.batch_id == "b1"
     assert abs(ctx.ts - datetime.now(timezone.utc)) < timedelta(minutes=1)
+
+
+def test_footers_tell_the_newest_timestamp_or_that_they_do_not(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    noon = datetime(2024, 5, 1, 12, tzinfo=timezone.utc)
+    stamps = [noon, None, noon + timedelta(microseconds=7), noon - timedelta(days=400)]
+    us = 1_714_564_800_000_000
+
+    def write(name, kind, values, **options):
+        pq.write_table(pa.table({"Id": pa.array(range(len(values))), "LastModified": pa.array(values, kind)}), tmp_path / name, **options)
+
+    write("a b.parquet", pa.timestamp("us", "UTC"), stamps, row_group_size=1)
+    write("milli.parquet", pa.timestamp("ms", "UTC"), [noon, noon + timedelta(milliseconds=3)])
+    write("null.parquet", pa.timestamp("us", "UTC"), [None, None])
+    write("empty.parquet", pa.timestamp("us", "UTC"), [])
+    write("bare.parquet", pa.timestamp("us", "UTC"), stamps, write_statistics=False)
+    write("local.parquet", pa.timestamp("us"), [datetime(2024, 5, 1)])
+    write("text.parquet", pa.string(), ["2024-05-01 12:00:00"])
+    write("old.parquet", pa.timestamp("us", "UTC"), stamps, use_deprecated_int96_timestamps=True)
+    pq.write_table(pa.table({"Id": [1]}), tmp_path / "without.parquet")
+    (tmp_path / "broken.parquet").write_bytes(b"PAR1 no file PAR1")
+    found = {r["file"]: (r["known"], r["file_us"]) for r in footer_stamps(spark, str(tmp_path), "lastmodified").collect()}
+    assert found == {
+        "a%20b.parquet": (True, us + 7),
+        "milli.parquet": (True, us + 3000),
+        **{f"{name}.parquet": (True, None) for name in ("null", "empty", "without")},
+        **{f"{name}.parquet": (False, None) for name in ("bare", "local", "text", "old", "broken")},
+    }
+    scanned = file_stamps(read_drop(spark, str(tmp_path), ["a%20b.parquet", "milli.parquet"]), "LastModified").collect()
+    assert {r["file"]: (True, r["file_us"]) for r in scanned} == {f: found[f] for f in ("a%20b.parquet", "milli.parquet")}
+    (tmp_path / "none").mkdir()
+    assert footer_stamps(spark, str(tmp_path / "none"), "lastmodified").count() == 0

@@ -346,3 +346,29 @@ def test_rejected_rows_come_back_mended(spark, world):
     later = world(T0 + timedelta(1), reject_repeats=True, every_unseen=True)
     assert {"SFMa", "SFMb", "SFMlost"} <= set(codes_of(world))
     assert later.rejected == 1 and rejected.filter(F.col("batch_id") == summary.loads[0]).isEmpty()
+
+
+def test_brand_names_come_from_the_newest_rows_not_from_history(spark, world):
+    world(T0, ranges=4)
+    later = T0 + timedelta(days=1)
+    write_brands(spark, world.brands, "brand_2.parquet", [("b2", "Other", later)])
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [{**FIRST, "lastmodifieddate": later}, hotel("H3", "Third", later, hotelbrandc="b2")])
+    # Without the first load's history the brand that only it has is still known.
+    spark.sql(f"TRUNCATE TABLE {world.database}.bronze_brand")
+    world(later, ranges=4)
+    brands = spark.table(f"{world.database}.silver_brands")
+    assert sorted((r["id"], r["name"]) for r in brands.collect()) == [("b1", "Inns"), ("b2", "Other")]
+    names = {r["Code"]: r["brandname_standardized"] for r in spark.table(f"{world.database}.silver").collect()}
+    assert (names["SFH1"].lower(), names["SFH3"]) == ("inns", "Other")
+
+
+def test_a_job_without_kept_brands_takes_them_from_its_history(spark, world):
+    world(T0, ranges=4)
+    spark.sql(f"DROP TABLE {world.database}.silver_brands")
+    later = T0 + timedelta(days=1)
+    write_brands(spark, world.brands, "brand_2.parquet", [("b2", "Other", later)])
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [{**FIRST, "lastmodifieddate": later}])
+    world(later, ranges=4)
+    brands = spark.table(f"{world.database}.silver_brands")
+    assert sorted((r["id"], r["name"]) for r in brands.collect()) == [("b1", "Inns"), ("b2", "Other")]
+    assert gold(spark, world)["SFH1"]["BrandName"] == "Inns"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from masterloom.context import RunContext
 from masterloom.operators.schema import SchemaDriftError, string_schema
-from masterloom.sources import tables, watermark_slice
+from masterloom.sources import keep_newest, tables, watermark_slice
 from masterloom.sources.tables import DuplicateKeyError, ensure_table, key_range, merge_table, rows_of_keys, staged
 
 CTX = RunContext("etl", datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc), "b1")
@@ -269,3 +269,31 @@ def test_rows_of_keys_reads_their_ranges(spark, database):
     found = rows_of_keys(spark, name, spark.createDataFrame([(3,), (499,), (900,)], "code long"))
     assert sorted(r["code"] for r in found.collect()) == [3, 499]
     assert "PartitionFilters: [" in found._jdf.queryExecution().toString() and len(found.inputFiles()) <= 3 * 8
+
+
+@pytest.mark.parametrize("ranges", [0, 4])
+def test_newest_rows_are_kept_whatever_the_order_of_loads(spark, database, ranges):
+    history = [
+        [("a", "first", 1, 1), ("b", "only", 5, 1), (None, "no key", 9, 9), ("a", "tie", 3, 1)],
+        [("a", "tie too", 3, 1), ("c", None, 2, 2), ("c", "older", 1, 9)],
+        [("a", "stale", 2, 8), ("b", None, None, None)],
+    ]
+    loads = [spark.createDataFrame(load, "id string, name string, at int, seen int") for load in history]
+    for number, order in enumerate(((0, 1, 2), (2, 1, 0), (1, 0, 1, 2, 0))):
+        name = f"{database}.newest{number}"
+        for n in order:
+            keep_newest(loads[n], name, "id", ["name"], ["at", "seen"], ranges)
+        kept = spark.table(name).select("id", "name", "at", "seen")
+        assert sorted(map(tuple, kept.collect())) == [("a", "tie too", 3, 1), ("b", "only", 5, 1), ("c", None, 2, 2)]
+    keep_newest(loads[0].limit(0), f"{database}.none", "id", ["name"], ["at", "seen"], ranges)
+    assert spark.table(f"{database}.none").isEmpty()
+
+
+def test_a_load_rewrites_only_its_keys_ranges(spark, database):
+    name = f"{database}.newest"
+    keep_newest(spark.range(1000).selectExpr("id", "id AS name", "1 AS at"), name, "id", ["name"], ["at"], ranges=50)
+    before = set(spark.table(name).inputFiles())
+    keep_newest(spark.createDataFrame([(7, 70, 2), (8, 80, 0)], "id long, name long, at int"), name, "id", ["name"], ["at"], ranges=50)
+    table = spark.table(name)
+    assert len(set(table.inputFiles()) - before) <= 2 * 8
+    assert [tuple(r) for r in table.filter("id IN (7, 8)").select("id", "name").orderBy("id").collect()] == [(7, 70), (8, 8)]
