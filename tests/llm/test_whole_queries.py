@@ -1,0 +1,181 @@
+"""Queries without SQL, over the whole small tables, against brute force."""
+
+import bisect
+import importlib.util
+import os
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from masterloom.llm import html_text, packing, quality_forest, queries
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+
+
+def _sibling(name):
+    spec = importlib.util.spec_from_file_location(f"brute_{name}", Path(__file__).with_name(f"{name}.py"))
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return module
+
+
+dedup, filters = _sibling("test_dedup"), _sibling("test_filters")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return [r.asDict() for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+
+
+def best_fit(lengths, capacity):
+    """How many sequences best-fit decreasing needs, document by document."""
+    rooms, sequences = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(rooms, n)
+        if at == len(rooms):
+            sequences, room = sequences + 1, capacity
+        else:
+            room = rooms.pop(at)
+        if room > n:
+            bisect.insort(rooms, room - n)
+    return sequences
+
+
+def pieces_of(docs, encoder, capacity=4096):
+    out = Counter()
+    for d in docs:
+        ids = np.array(encoder.encode(d["text"] or "", add_special_tokens=False).ids + [1], "<u4")
+        for k, begin in enumerate(range(0, len(ids), capacity)):
+            part = ids[begin : begin + capacity]
+            out[d["doc_id"], k, begin, len(part), zlib.crc32(part.tobytes())] += 1
+    return out
+
+
+def check_packing(rows, pieces, capacity=4096):
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == pieces
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for placed in sequences.values():
+        placed.sort()
+        ends = np.cumsum([n for _, n in placed])
+        assert [o for o, _ in placed] == [0, *ends[:-1]] and ends[-1] <= capacity
+    # Best fit over counts is best fit over documents.
+    assert len(sequences) == best_fit([n for (_, _, _, n, _), times in pieces.items() for _ in range(times)], capacity)
+
+
+def test_op1_renders_the_tree_a_walk_builds(spark, monkeypatch):
+    got = {r["page_id"]: r["text"] for r in queries.op1_html_text(spark, FOLDER).collect()}
+    monkeypatch.setattr(html_text, "Builder", filters.Walking)
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "html").collect()
+    assert got == {r["page_id"]: html_text.page_text(r["html"]) for r in pages}
+
+
+def test_op2_packs_as_best_fit_over_documents_does(spark, docs):
+    encoder = Tokenizer.from_file(queries.tokenizer_path())
+    check_packing(queries.op2_best_fit_packing(spark, FOLDER).collect(), pieces_of(docs, encoder))
+
+
+@pytest.mark.parametrize("capacity, seed", [(64, 0), (4096, 1), (1000, 2)])
+def test_plans_need_as_many_sequences_as_best_fit_over_documents(capacity, seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.minimum(np.ceil(rng.lognormal(np.log(capacity / 6), 1.2, 3000)).astype(int), capacity)
+    slots = packing.plan(Counter(lengths.tolist()), capacity)
+    assert max(first + n for _, _, n, _, first, _ in slots) == best_fit(lengths.tolist(), capacity)
+
+
+def brute_score(forest, x):
+    """2 ** -(mean path length / typical) of one row, walked tree by tree."""
+    total = 0.0
+    for feature, threshold, below, length in zip(forest.feature, forest.threshold, forest.below, forest.length):
+        node, depth = 0, 0
+        while feature[node] >= 0:
+            node, depth = below[node] + (0 if x[feature[node]] < threshold[node] else 1), depth + 1
+        assert depth <= quality_forest.DEPTH and length[node] >= depth
+        total += length[node]
+    return 2.0 ** (-total / len(forest.feature) / forest.typical)
+
+
+def test_op3_verdicts_equal_walks_through_the_trees(spark, docs):
+    stats = spark.createDataFrame(
+        [(d["doc_id"], tuple(filters.brute_statistics(d["text"]))) for d in docs],
+        "id long, stats struct<" + ",".join(f"{c}:bigint" for c in quality_forest.STATISTICS) + ">",
+    )
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    model = quality_forest.fit(stats, labels)
+    got = {r["doc_id"]: r for r in queries.op3_quality_forest(spark, FOLDER).collect()}
+    assert len(got) == len(docs)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    scored = {0: [], 1: []}
+    for d in docs:
+        s, r = filters.brute_statistics(d["text"]), got[d["doc_id"]]
+        failed = s[0] < 50 or 100 * s[4] > 50 * s[0]
+        score = brute_score(model.forest, quality_forest.features(np.array([s]))[0])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == s[:5]
+        assert r["base_failed"] == failed and abs(r["score"] - score) < 1e-9
+        assert r["kept"] == (not failed and score < model.threshold)
+        if not failed and d["doc_id"] in known:
+            scored[known[d["doc_id"]]].append(score)
+    # No other threshold on the grid of scores parts the labels better.
+    gain = lambda t: sum(x < t for x in scored[1]) / max(len(scored[1]), 1) - sum(x < t for x in scored[0]) / max(len(scored[0]), 1)
+    if scored[0]:
+        assert gain(model.threshold) >= max(gain(k / quality_forest.STEPS) for k in range(quality_forest.STEPS + 1)) - 1e-9
+
+
+def test_op5_components_equal_all_pairs(spark, docs):
+    prints = [dedup.brute_fingerprint(d["text"]) for d in docs]
+    near = [(a, b) for a in range(len(docs)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    group = dedup.classes(len(docs), near)
+    smallest = {g: min(docs[k]["doc_id"] for k in range(len(docs)) if group[k] == g) for g in set(group)}
+    want = {(d["doc_id"], f"{p:016x}", smallest[g]) for d, p, g in zip(docs, prints, group)}
+    assert {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in queries.op5_simhash_dedup(spark, FOLDER).collect()} == want
+
+
+def test_op6_places_every_document_once(spark, docs):
+    rows = queries.op6_uniform_sharding(spark, FOLDER).collect()
+    texts = {d["doc_id"]: (d["text"] or "").encode() for d in docs}
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in rows} == {(i, len(t) + 8, zlib.crc32(t)) for i, t in texts.items()}
+    slots = defaultdict(list)
+    for r in rows:
+        assert (r["law"], r["grown_shard"]) == ("rows", None)
+        slots[r["shard"]].append(r["slot"])
+    assert len(rows) == len(docs) and set(slots) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = [len(slots[s]) for s in range(24)]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_op8_links_equal_all_pairs(spark):
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()
+    column = next(c for c in rows[0].asDict() if isinstance(rows[0][c], list))
+    known = [r for r in rows if r[column] and all(x is not None and np.isfinite(x) for x in r[column]) and any(r[column])]
+    x = np.array([r[column] for r in known], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    linked = np.argwhere(np.triu(x @ x.T >= 0.9, 1))
+    n = Counter(linked.ravel().tolist())
+    group = dedup.classes(len(known), linked.tolist())
+    smallest = {g: min(known[k]["vec_id"] for k in range(len(known)) if group[k] == g) for g in set(group)}
+    want = {r["vec_id"]: (0, r["vec_id"], True) for r in rows}
+    want |= {r["vec_id"]: (n[k], smallest[group[k]], smallest[group[k]] == r["vec_id"]) for k, r in enumerate(known)}
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in queries.op8_embedding_dedup(spark, FOLDER).collect()} == want
+
+
+def test_pipeline_stage_by_stage(spark):
+    """The second and the last stage against brute force on the whole small table."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = sorted(docs.filter("text IS NOT NULL").collect(), key=lambda r: r["doc_id"])
+    after = {r["doc_id"]: (r["text"], r["n_chars"]) for r in stages["line dedup"](spark, docs, FOLDER).collect() if r["text"] is not None}
+    brute = dedup.brute_passages([r["text"] for r in before])
+    assert after == {r["doc_id"]: (text, len(text)) for r, text in zip(before, brute)}
+    # As a mix has them: some documents twice, some three times.
+    mixed = docs.unionByName(docs.filter("doc_id % 3 = 0")).unionByName(docs.filter("doc_id % 6 = 0"))
+    encoder = Tokenizer.from_file(queries.tokenizer_path())
+    packed = stages["best-fit packing"](spark, mixed, FOLDER)
+    check_packing(packed.collect(), pieces_of([r.asDict() for r in mixed.select("doc_id", F.col("text")).collect()], encoder))
