@@ -4,9 +4,11 @@ A document's lines are hashed, a rolling hash runs over windows of two line hash
 chunk begins at each line whose rolling hash is a local minimum.  So boundaries depend
 on the lines around them only: lines put in before a passage do not shift the chunks
 inside it, and a chunk has two lines or more (but perhaps a text's first or last one).
-A chunk of several lines that occurs again anywhere in the corpus is removed there; its
-first occurrence, in the document with the smallest id, stays.  Occurrences are found by
-a 64-bit hash, and a chunk is only removed if its bytes equal the first one's.
+A chunk that occurs again anywhere in the corpus is removed there; its first occurrence,
+in the document with the smallest id, stays.  Occurrences are found by a 64-bit hash, and
+a chunk is only removed if its bytes equal the first one's.  Neighbouring chunks that
+occur again are a run, and only runs of several lines go: so a long passage goes also where
+its chunks are short lines or a paragraph and a blank line each.
 
 Only DataFrame functions are used.  What is shuffled: each task's distinct chunks once,
 hashes of all chunks, the repeated chunks, and the documents once, to take them out.
@@ -31,7 +33,7 @@ from masterloom.llm.common import column, fresh
 #: Fixed values that the SQL below repeats: factor and modulus of the rolling hash.
 FACTOR = 31
 MODULUS = 1 << 32
-#: A chunk that may be removed has so many lines with a word, and so many characters.
+#: A run that may be removed has so many lines with a word, and so many characters.
 MIN_LINES = 2
 MIN_CHARS = 50
 
@@ -81,11 +83,12 @@ def drop_repeated_chunks(
     n_chunks: str | None = None,
     n_removed: str | None = None,
 ) -> DataFrame:
-    """``docs`` with repeated chunks taken out of the text.
+    """``docs`` with runs of repeated chunks taken out of the text.
 
     ``n_chunks`` and ``n_removed`` name columns to add with these counts.
     """
-    chunks, print_, verdicts, d_id, d_print = (fresh(docs, stem) for stem in ("chunks", "print", "verdicts", "d_id", "d_print"))
+    stems = ("chunks", "print", "verdicts", "again", "d_id", "d_print")
+    chunks, print_, verdicts, repeats, d_id, d_print = (fresh(docs, stem) for stem in stems)
     key = column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("print")
     texts = docs.filter(column(text_col).isNotNull()).select(*key, column(text_col).alias("text"))
     # The outer form: for the other one the planner infers a filter on the array, which
@@ -93,8 +96,7 @@ def drop_repeated_chunks(
     found = line_chunks(texts, "text", "chunks").select("id", "print", F.posexplode_outer("chunks").alias("k", "chunk"))
     found = found.filter("chunk IS NOT NULL").withColumn("hash", F.xxhash64("chunk"))
     repeated = (
-        found.filter(several_lines(F.col("chunk"), min_lines, min_chars))
-        .groupBy("hash", "chunk")
+        found.groupBy("hash", "chunk")
         .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
         .filter("n > 1")
         .select(F.col("hash").alias("r_hash"), F.col("chunk").alias("again"), "first")
@@ -115,10 +117,9 @@ def drop_repeated_chunks(
     rows = rows.join(per_document, column(id_col).eqNullSafe(F.col(d_id)) & (F.col(print_) == F.col(d_print)), "left")
     rows = rows.drop(d_id, d_print, print_)
     rows = line_chunks(rows, text_col, chunks)
-    # A chunk goes if its bytes are those of the repeated one.
-    kept = F.zip_with(chunks, verdicts, lambda chunk, again: F.when(~chunk.eqNullSafe(again), chunk))
-    kept = F.when(F.col(verdicts).isNotNull(), F.filter(kept, lambda chunk: chunk.isNotNull()))
-    rows = rows.withColumn(verdicts, kept)
+    # A chunk may go if its bytes are those of the repeated one.
+    rows = rows.withColumn(repeats, F.zip_with(chunks, verdicts, lambda chunk, again: chunk.eqNullSafe(again)))
+    rows = rows.withColumn(verdicts, F.when(F.col(verdicts).isNotNull(), _without_runs(chunks, chunks, repeats, min_lines, min_chars)))
     text = F.when(F.col(verdicts).isNotNull(), F.array_join(verdicts, "\n")).otherwise(column(text_col))
     count = F.coalesce(F.size(chunks), F.lit(0))
     columns = [text.alias(c) if c == text_col else column(c) for c in docs.columns]
@@ -129,6 +130,24 @@ def drop_repeated_chunks(
     return rows.select(*columns)
 
 
+def _without_runs(parts: str, shown: str, goes: str, min_lines: int, min_chars: int) -> Column:
+    """An array of ``parts`` without the runs of those that go, by an array of booleans.
+
+    A run goes if what is ``shown`` of it has several lines; a smaller one stays.
+    """
+    stay = F.filter(F.transform(goes, lambda go, i: F.when(~go, i)), lambda i: i.isNotNull())
+    begins = F.concat(F.array(F.lit(-1)), stay)
+    runs = F.arrays_zip(begins.alias("a"), F.concat(stay, F.array(F.size(parts))).alias("b"))
+
+    def left(run: Column) -> Column:
+        own = F.when(run["a"] >= 0, F.slice(parts, run["a"] + 1, 1)).otherwise(F.array().cast("array<string>"))
+        inner = F.slice(parts, run["a"] + 2, run["b"] - run["a"] - 1)
+        long = several_lines(F.array_join(F.slice(shown, run["a"] + 2, run["b"] - run["a"] - 1), "\n"), min_lines, min_chars)
+        return F.when(long, own).otherwise(F.concat(own, inner))
+
+    return F.flatten(F.transform(runs, left))
+
+
 def lines_with_words(rows: DataFrame, text: str, into: str, units: str | None = None) -> DataFrame:
     """``rows`` with an array of the text's lines that have a word; the first line always counts.
 
@@ -254,10 +273,15 @@ WITH numbered AS (
   SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_lines
   FROM placed GROUP BY doc_id, k
 ), repeated AS (
-  SELECT chunk, min(doc_id) AS first FROM chunks WHERE n_lines >= 2 AND length(chunk) >= 50 GROUP BY chunk HAVING count(*) > 1
-), judged AS (
-  SELECT c.*, first IS NOT NULL AND (c.doc_id <> first OR row_number() OVER (PARTITION BY c.doc_id, c.chunk ORDER BY k) > 1) AS goes
+  SELECT chunk, min(doc_id) AS first FROM chunks GROUP BY chunk HAVING count(*) > 1
+), found AS (
+  SELECT c.*, first IS NOT NULL AND (c.doc_id <> first OR row_number() OVER (PARTITION BY c.doc_id, c.chunk ORDER BY k) > 1) AS again
   FROM chunks c LEFT JOIN repeated r ON c.chunk = r.chunk
+), numbered_runs AS (
+  SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM found
+), judged AS (
+  SELECT *, again AND sum(n_lines) OVER r >= 2 AND sum(length(chunk)) OVER r + count(*) OVER r - 1 >= 50 AS goes
+  FROM numbered_runs WINDOW r AS (PARTITION BY doc_id, run, again)
 ), summed AS (
   SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (goes) AS n_removed, string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT goes) AS text
   FROM judged GROUP BY doc_id

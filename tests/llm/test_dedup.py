@@ -165,6 +165,38 @@ def test_passages_are_removed_wherever_they_are(spark):
         assert out[i]["text"] == clean[i - 6]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_chunks_equal_their_sql_on_short_and_blank_lines(spark, seed):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(seed)
+    words = ["", " ", "x", "the quick brown fox", "a line that has some forty characters in it", *[f"line {i}" for i in range(30)]]
+    passages = [[rng.choice(words) for _ in range(rng.randint(1, 40))] for _ in range(6)]
+    texts = ["\n".join(x for _ in range(rng.randint(0, 4)) for x in rng.choice([rng.choice(passages), rng.choices(words, k=3)])) for _ in range(60)]
+    duck = duckdb.connect()
+    duck.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    want = {(i, n, gone, text) for i, n, gone, text in duck.sql(f"SELECT doc_id, n_chunks, n_removed, text FROM ({line_chunks.ORACLE})").fetchall()}
+    out = line_chunks.drop_repeated_chunks(documents(spark, texts), n_chunks="n", n_removed="gone").collect()
+    assert {(r["doc_id"], r["n"], r["gone"], r["text"]) for r in out} == want
+
+
+def test_long_passages_of_short_lines_and_of_paragraphs_go(spark):
+    rng = random.Random(7)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(9))
+    short = [f"item {rng.randrange(10**5)}" for _ in range(60)]
+    spaced = [x for _ in range(30) for x in (line(), "")]
+    for passage in (short, spaced):
+        texts = ["\n".join([line() for _ in range(3)] + passage + [line() for _ in range(3)]) for _ in range(4)]
+        out = {r["doc_id"]: r["text"] for r in line_chunks.drop_repeated_chunks(documents(spark, texts)).collect()}
+        assert out[0] == texts[0]
+        for i in (1, 2, 3):
+            left = out[i].split("\n")
+            assert sum(p in left for p in passage if p) <= 9 and [x for x in texts[i].split("\n") if x and x not in passage] == [
+                x for x in left if x and x not in passage
+            ]
+
+
 def test_odd_rows_of_line_dedup(spark):
     text = "\n".join(f"the line number {i} of this text" for i in range(30))
     ids = [4, 2, 2, None, None, 9, 10, 11, 12]
