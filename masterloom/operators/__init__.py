@@ -19,8 +19,9 @@ from masterloom.operators.schema import (
     sanitized_names,
     schema_drift,
     string_schema,
+    wider_type,
 )
-from masterloom.operators.upsert import changed_keys, key_profile, reject_blank_keys, upsert
+from masterloom.operators.upsert import changed_keys, key_profile, reject_blank_keys, upsert, with_row_hash
 
 __all__ = [
     "Reference",
@@ -45,4 +46,6 @@ __all__ = [
     "standardize_phones",
     "string_schema",
     "upsert",
+    "wider_type",
+    "with_row_hash",
 ]

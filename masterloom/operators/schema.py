@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, DataType, DecimalType, NullType, StringType, StructField, StructType
+from pyspark.sql.types import AtomicType, DataType, DecimalType, DoubleType, NullType, StringType, StructField, StructType
 
 from masterloom.context import RunContext
 
@@ -78,6 +78,36 @@ def keeps_values(source: DataType, target: DataType) -> bool:
     return (a, b) in {("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz")}
 
 
+def wider_type(first: DataType, second: DataType) -> DataType:
+    """The type that holds both types' values: one of them, else a double, a decimal or text.
+
+    A double is taken for integers of up to 10 digits and floats, a decimal for exact
+    numbers of up to 38 digits, text for other values that have a text.  Where none holds
+    both, ``SchemaDriftError``.
+    """
+    for source, target in ((second, first), (first, second)):
+        if keeps_values(source, target):
+            return target
+    if keeps_values(first, DoubleType()) and keeps_values(second, DoubleType()):
+        return DoubleType()
+    exact = [_as_decimal(t) for t in (first, second)]
+    if all(exact):
+        scale = max(t.scale for t in exact)
+        digits = scale + max(t.precision - t.scale for t in exact)
+        if digits <= 38:
+            return DecimalType(digits, scale)
+    if keeps_values(first, StringType()) and keeps_values(second, StringType()):
+        return StringType()
+    raise SchemaDriftError(f"no type holds the values of {first.simpleString()} and {second.simpleString()}")
+
+
+def _as_decimal(t: DataType) -> DecimalType | None:
+    if isinstance(t, DecimalType):
+        return t
+    digits = INTEGRAL_DIGITS.get(t.simpleString())
+    return DecimalType(digits, 0) if digits else None
+
+
 def narrowed_columns(df: DataFrame, schema: StructType) -> list[str]:
     """Columns that the target has in a type that cannot hold their values."""
     known = {f.name.lower(): f.dataType for f in schema.fields}

@@ -37,6 +37,7 @@ from masterloom.operators import (
     schema_drift,
     standardize_phones,
     string_schema,
+    with_row_hash,
 )
 from masterloom.plans import hotel_spec as spec
 from masterloom.sources import (
@@ -53,10 +54,12 @@ from masterloom.sources import (
     keep_newest,
     merge_table,
     read_drop,
+    read_evolved,
     replace_partition,
     rows_of_keys,
     staged,
     utc_text,
+    widen_table,
 )
 from masterloom.sources.drops import EPOCH
 from masterloom.sources.ledger import micros
@@ -66,6 +69,8 @@ TIMESTAMP = "lastmodifieddate"
 SILVER_AUDIT = ("createdby", "lastupdatedby", "createdtimestamp", "lastupdatedtimestamp")
 #: What a load goes through; a brand load ends with bronze.
 STAGES = ("found", "bronze", "silver planned", "silver", "gold planned", "gold", "exported")
+#: The column of silver and gold that has a hash of what this job writes of a row, where a table has one.
+ROW_HASH = "row_hash"
 CHANGES = StructType([StructField(c, StringType()) for c in ("Code", "load", "layer")])
 
 
@@ -85,6 +90,9 @@ class HotelTables:
     buckets: int = 0
     # Or partitions by key range, of which an upsert reads and writes only its own; 0 for none.
     ranges: int = 0
+    # Give new silver and gold tables a hash of each row, so that ``only_if_changed`` reads
+    # keys and hashes instead of all columns.
+    row_hash: bool = False
     # What each load has reached, which keys it changes, which rows it could not take, and
     # the newest row of each brand; beside the silver table where no names are given.
     ledger: str = ""
@@ -297,24 +305,25 @@ class HotelRun:
     def bronze(self, load: Load, path: str, table: str) -> None:
         """Append one file's rows; of brands, the newest rows are kept up too."""
         rows = sanitize_columns(read_drop(self.spark, path, load.file))
-        append_evolving(add_audit(rows, replace(self.ctx, batch_id=load.batch_id), load.file), table, load.batch_id)
+        append_evolving(add_audit(rows, replace(self.ctx, batch_id=load.batch_id), load.file), table, load.batch_id, widen=True)
         if load.kind == "brand":
             self._keep_brands(load)
         self.ledger.reach([load], "bronze")
 
     def silver(self, load: Load, stage: str, summary: RunSummary) -> None:
         """Standardise one load and upsert it; rows that have no key of their own are kept apart."""
-        slice_ = batch_slice(self.spark.table(self.tables.bronze_hotel), load.batch_id)
+        slice_ = batch_slice(read_evolved(self.spark, self.tables.bronze_hotel), load.batch_id)
         good, rejects = self._keyed(slice_)
         brands = self._brands()
         batch = silver_batch(good, brands, self.country_ref, self.brand_ref, self.dial_plan, self.code_mode, foreign=self.check_foreign)
         with staged(batch, "silver-batch") as rows:
             audited = rows.select("*", *[F.lit(None).cast(_AUDIT_TYPES[c]).alias(c) for c in SILVER_AUDIT])
+            widen_table(self.spark, self.tables.silver, audited.schema)
             self._ensure(self.tables.silver, audited.schema)
             summary.drift = schema_drift(audited, self._columns(self.tables.silver))
             known = {n.lower() for n in self.spark.table(self.tables.silver).columns}
             source = rows.select([c for c in rows.columns if c.lower() in known])
-            append_evolving(rejects.withColumn("batch_id", F.lit(load.load)), self.tables.named("rejected"), load.load)
+            append_evolving(rejects.withColumn("batch_id", F.lit(load.load)), self.tables.named("rejected"), load.load, widen=True)
             summary.rejected += batch_slice(self.spark.table(self.tables.named("rejected")), load.load).count()
             stamp = {"lastupdatedby": F.lit(load.run_by), "lastupdatedtimestamp": F.lit(load.run_ts)}
             new = {"createdby": F.lit(load.run_by), "createdtimestamp": F.lit(load.run_ts)}
@@ -323,7 +332,7 @@ class HotelRun:
 
     def _keep_brands(self, load: Load | None) -> None:
         """Merge a load's brands into the newest row of each; all that bronze has, where there are none yet."""
-        name, rows = self.tables.named("brands"), self.spark.table(self.tables.bronze_brand)
+        name, rows = self.tables.named("brands"), read_evolved(self.spark, self.tables.bronze_brand)
         if load and self.spark.catalog.tableExists(name) and not self.spark.table(name).isEmpty():
             rows = batch_slice(rows, load.batch_id)
         keep_newest(rows, name, "id", ["name"], [TIMESTAMP, "lastupdatedtimestamp"], self.tables.ranges)
@@ -370,10 +379,10 @@ class HotelRun:
         newest word on their keys, as those of a new file would be.
         """
         name = self.tables.named("rejected")
-        rows = mend(batch_slice(self.spark.table(name), load)).drop("reason", "batch_id")
+        rows = mend(batch_slice(read_evolved(self.spark, name), load)).drop("reason", "batch_id")
         first = next(x for x in self.ledger.state().filter(F.col("load") == load).collect())
         again = Load("", "hotel", f"{load}~mended", first["file"], first["file_us"], 0, 0, self.ctx.user, micros(self.ctx.ts))
-        append_evolving(rows.withColumn("batch_id", F.lit(again.batch_id)), self.tables.bronze_hotel, again.batch_id)
+        append_evolving(rows.withColumn("batch_id", F.lit(again.batch_id)), self.tables.bronze_hotel, again.batch_id, widen=True)
         (again,) = self.ledger.begin([again], "bronze")
         drop_partition(self.spark, name, {"batch_id": load})
         return again
@@ -391,8 +400,13 @@ class HotelRun:
 
     def _merge(self, load: Load, stage: str, layer: str, rows: DataFrame, table: str, stamp: dict, new: dict) -> None:
         """Upsert those rows of a load that change the table; which ones is settled only once."""
+        schema = self.spark.table(table).schema
+        hashed = ROW_HASH if ROW_HASH in schema.names else None
+        if hashed:
+            rows = with_row_hash(rows, schema, ["Code"], ROW_HASH)
         if STAGES.index(stage) < STAGES.index(f"{layer} planned"):
-            keys = changed_keys(self.spark.table(table), rows, ["Code"]) if self.only_if_changed else rows.select("Code")
+            target = self.spark.table(table)
+            keys = changed_keys(target, rows, ["Code"], row_hash=hashed) if self.only_if_changed else rows.select("Code")
             if keys.groupBy("Code").count().filter("count > 1").isEmpty():
                 replace_partition(keys, self.tables.named("changes"), {"load": load.load, "layer": layer}, CHANGES)
                 self.ledger.reach([load], f"{layer} planned")
@@ -413,11 +427,13 @@ class HotelRun:
         return table.filter(mine).select("Code").distinct()
 
     def _ensure(self, name: str, schema: StructType) -> None:
+        if self.tables.row_hash:
+            schema = StructType([*schema.fields, StructField(ROW_HASH, StringType())])
         ensure_table(self.spark, name, schema, bucket_by=["Code"], buckets=self.tables.buckets, ranges=self.tables.ranges)
 
     def _columns(self, name: str) -> StructType:
-        """A table's columns without the one of its layout."""
-        return StructType([f for f in self.spark.table(name).schema.fields if f.name != RANGE_COLUMN])
+        """A table's columns without those of its layout and its hash."""
+        return StructType([f for f in self.spark.table(name).schema.fields if f.name not in (RANGE_COLUMN, ROW_HASH)])
 
 
 _AUDIT_TYPES = {"createdby": "string", "lastupdatedby": "string", "createdtimestamp": "timestamp", "lastupdatedtimestamp": "timestamp"}

@@ -12,10 +12,12 @@ from masterloom.sources.tables import (
     drop_partition,
     ensure_table,
     merge_table,
+    read_evolved,
     replace_contents,
     replace_partition,
     rows_of_keys,
     staged,
+    widen_table,
 )
 
 __all__ = [
@@ -36,10 +38,12 @@ __all__ = [
     "merge_table",
     "newest_file",
     "read_drop",
+    "read_evolved",
     "replace_contents",
     "replace_partition",
     "rows_of_keys",
     "staged",
     "utc_text",
     "watermark_slice",
+    "widen_table",
 ]

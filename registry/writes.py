@@ -3,8 +3,10 @@
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from masterloom.sources import append_evolving, ensure_table, export_csv, keep_newest, merge_table
+from masterloom.operators import changed_keys, with_row_hash
+from masterloom.sources import append_evolving, ensure_table, export_csv, keep_newest, merge_table, read_evolved, widen_table
 from masterloom.sources.tables import shared_folder, staged
 from registry import query, table
 from registry.upserts import SPLIT, _sides
@@ -40,6 +42,64 @@ def append_two_loads(spark, folder):
     return spark.table(name).select("o_orderkey", "o_totalprice", "priority", "batch_id")
 
 
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS DOUBLE) ELSE o_totalprice END AS amount,
+           CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS STRING) ELSE o_orderpriority END AS mark,
+           'load-' || CAST(o_orderkey % 3 AS STRING) AS batch_id
+    FROM orders
+    """
+)
+def append_wider_types(spark, folder):
+    """Two columns come as integers first, later as a double and as text; the first load is then loaded again."""
+    name, orders = _new_name("bronze"), table(spark, folder, "orders")
+    later = [F.col("o_totalprice").cast("double").alias("amount"), F.col("o_orderpriority").alias("mark")]
+    first = [F.col("o_custkey").cast("int").alias(c) for c in ("amount", "mark")]
+    for load, columns in ((0, first), (1, later), (2, later), (0, first)):
+        rows = orders.filter(F.col("o_orderkey") % 3 == load).select("o_orderkey", *columns)
+        append_evolving(rows.withColumn("batch_id", F.lit(f"load-{load}")), name, f"load-{load}", widen=True)
+    return read_evolved(spark, name)
+
+
+@query(
+    """
+    SELECT o_orderkey AS code, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS amount
+    FROM orders
+    """
+)
+def merge_wider_type(spark, folder):
+    """A table laid out by key ranges holds integers until a batch brings doubles for every second key."""
+    name, orders = _new_name("widened"), table(spark, folder, "orders").withColumnRenamed("o_orderkey", "code")
+    first = orders.select("code", F.col("o_custkey").cast("int").alias("amount"))
+    second = orders.filter("code % 2 = 0").select("code", F.col("o_totalprice").cast("double").alias("amount"))
+    ensure_table(spark, name, first.schema, bucket_by=["code"], ranges=8)
+    for rows in (first, second):
+        widen_table(spark, name, rows.schema)
+        with staged(rows, "batch") as batch:
+            merge_table(batch, name, ["code"])
+    return spark.table(name).select("code", "amount")
+
+
+@query(
+    f"""
+    {SPLIT}
+    SELECT s.code, s.status FROM src s LEFT JOIN tgt t ON s.code = t.code
+    WHERE t.code IS NULL OR t.status IS DISTINCT FROM s.status
+    """
+)
+def changes_by_row_hash(spark, folder):
+    """What a batch changes in a table that keeps a hash of each row, told from keys and hashes alone."""
+    name, (target, source) = _new_name("hashed"), _sides(spark, folder)
+    held = target.select("code", "status")
+    schema = StructType([*held.schema.fields, StructField("row_hash", StringType())])
+    ensure_table(spark, name, schema)
+    with staged(with_row_hash(held, schema, ["code"], "row_hash"), "batch") as batch:
+        merge_table(batch, name, ["code"])
+    hashed = with_row_hash(source, schema, ["code"], "row_hash")
+    changed = changed_keys(spark.table(name), hashed, ["code"], row_hash="row_hash")
+    return hashed.join(changed, "code", "left_semi").select("code", "status")
+
+
 def _merged(spark, folder, **layout):
     name = _new_name("merged")
     target, source = _sides(spark, folder)

@@ -11,7 +11,7 @@ from conftest import ROOT
 from masterloom.context import RunContext
 from masterloom.plans import HotelRun, HotelTables, hotel_spec
 from masterloom.plans.hotel import STAGES, RunSummary
-from masterloom.sources import DuplicateKeyError, RunLedger, replace_contents
+from masterloom.sources import DuplicateKeyError, RunLedger, read_evolved, replace_contents
 
 T0 = datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc)
 
@@ -40,8 +40,9 @@ def raw_name(column):
     return f"{column[:-1].title()}__c"
 
 
-def write_hotels(spark, folder, file_name, hotels, extra=""):
-    fields = [f"`{raw_name(c)}` {'timestamp' if c in TIMESTAMPS else 'string'}" for c in HOTEL_COLUMNS]
+def write_hotels(spark, folder, file_name, hotels, extra="", types=None):
+    types = {**dict.fromkeys(TIMESTAMPS, "timestamp"), **(types or {})}
+    fields = [f"`{raw_name(c)}` {types.get(c, 'string')}" for c in HOTEL_COLUMNS]
     rows = [tuple(h.get(c) for c in HOTEL_COLUMNS) for h in hotels]
     df = spark.createDataFrame(rows, ", ".join(fields))
     if extra:
@@ -101,6 +102,7 @@ def world(spark, database, tmp_path):
             gold_columns=options.pop("gold_columns", ()),
             buckets=options.pop("buckets", 0),
             ranges=options.pop("ranges", 0),
+            row_hash=options.pop("row_hash", False),
         )
         return HotelRun(spark, RunContext("etl", ts), country, brand, plan, tables, single_export=True, **options)
 
@@ -372,3 +374,34 @@ def test_a_job_without_kept_brands_takes_them_from_its_history(spark, world):
     brands = spark.table(f"{world.database}.silver_brands")
     assert sorted((r["id"], r["name"]) for r in brands.collect()) == [("b1", "Inns"), ("b2", "Other")]
     assert gold(spark, world)["SFH1"]["BrandName"] == "Inns"
+
+
+@pytest.mark.parametrize("layout", [{}, {"buckets": 2}, {"ranges": 4}])
+def test_a_wider_type_in_a_later_file_does_not_stop_the_load(spark, world, layout):
+    name = "hotel_2.parquet"
+    write_hotels(spark, world.hotels, name, [hotel("H1", "Inn", T0 + timedelta(days=1), latitudec=42)], types={"latitudec": "int"})
+    world(T0, **layout)
+    assert spark.table(f"{world.database}.silver").schema["latitudec"].dataType.simpleString() == "int"
+    later = [hotel("H5", "Late", T0 + timedelta(days=2), latitudec=42.25)]
+    write_hotels(spark, world.hotels, "hotel_3.parquet", later, types={"latitudec": "double"})
+    assert world(T0 + timedelta(days=2), **layout).status == "done"
+    bronze = read_evolved(spark, f"{world.database}.bronze_hotel")
+    assert sorted(r["latitudec"] for r in bronze.collect()) == [42.0, 42.25]
+    silver = {r["Code"]: r["latitudec"] for r in spark.table(f"{world.database}.silver").collect()}
+    assert silver == {"SFH1": 42.0, "SFH5": 42.25}
+    assert set(gold(spark, world)) == {"SFH1", "SFH5"}
+
+
+@pytest.mark.parametrize("row_hash", [False, True])
+def test_only_changed_rows_with_and_without_hashes(spark, world, row_hash):
+    world(T0, row_hash=row_hash, only_if_changed=True)
+    moved = hotel("H2", "Two, moved", T0 + timedelta(days=1), countryc="XXX")
+    first = {**FIRST, "lastmodifieddate": T0 + timedelta(days=0)}
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [first, moved])
+    world(T0 + timedelta(days=1), row_hash=row_hash, only_if_changed=True)
+    stamped = {r["Code"]: r["lastupdatedtimestamp"] for r in spark.table(f"{world.database}.silver").collect()}
+    assert stamped["SFH2"] - stamped["SFH1"] == timedelta(days=1)
+    assert [r[0] for r in read_csv(world, hotel_spec.EXPORT_CODES_FILE)[1:]] == ["SFH2"]
+    assert ("row_hash" in spark.table(f"{world.database}.gold").columns) == row_hash
+    if row_hash:
+        assert spark.table(f"{world.database}.gold").filter("row_hash IS NULL").isEmpty()

@@ -4,11 +4,13 @@ from pathlib import Path
 import pytest
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from masterloom.context import RunContext
-from masterloom.operators.schema import SchemaDriftError, string_schema
-from masterloom.sources import keep_newest, tables, watermark_slice
-from masterloom.sources.tables import DuplicateKeyError, ensure_table, key_range, merge_table, rows_of_keys, staged
+from masterloom.operators import changed_keys, with_row_hash
+from masterloom.operators.schema import SchemaDriftError, string_schema, wider_type
+from masterloom.sources import keep_newest, read_evolved, tables, watermark_slice, widen_table
+from masterloom.sources.tables import DuplicateKeyError, ensure_table, key_range, key_ranges, merge_table, rows_of_keys, staged
 
 CTX = RunContext("etl", datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc), "b1")
 
@@ -190,6 +192,96 @@ def test_a_load_that_the_table_cannot_hold_is_refused(spark, database):
         tables.merge_table(source, _table(spark, database, "narrow", "id string, n int", [("1", 2)]), ["id"])
 
 
+def test_a_wider_type_goes_on_in_a_further_column(spark, database):
+    name = f"{database}.bronze"
+
+    def load(batch, schema, values, **options):
+        df = spark.createDataFrame([(*v, batch) for v in values], f"{schema}, batch_id string")
+        tables.append_evolving(df, name, batch, widen=True)
+
+    load("f-1", "id string, n int", [("1", 2), ("2", None)])
+    files = set(spark.table(name).inputFiles())
+    assert read_evolved(spark, name).columns == ["id", "n", "batch_id"]
+    load("f-2", "id string, N double", [("3", 2.75)])
+    load("f-3", "id string, n long, extra date", [("4", 1 << 60, None)])
+    load("f-3", "id string, n long, extra date", [("4", 1 << 60, None)])  # loaded again
+    load("f-4", "id string, n int", [("5", 9)])
+    load("f-5", "id string", [("6",)])
+    found = read_evolved(spark, name)
+    assert found.columns == ["id", "n", "extra", "batch_id"] and found.schema["n"].dataType.simpleString() == "string"
+    assert rows(found.select("id", F.coalesce("n", F.lit("-")), "batch_id")) == [
+        ("1", "2", "f-1"), ("2", "-", "f-1"), ("3", "2.75", "f-2"), ("4", str(1 << 60), "f-3"), ("5", "9", "f-4"), ("6", "-", "f-5"),
+    ]
+    assert files <= set(spark.table(name).inputFiles())
+    with pytest.raises(SchemaDriftError, match="no type holds"):
+        load("f-6", "id string, n array<int>", [("7", [1])])
+
+
+def test_a_load_that_dies_before_its_wider_column_is_there_finds_its_plan(spark, database):
+    name = f"{database}.bronze"
+    tables.append_evolving(spark.createDataFrame([("1", 2, "f-1")], "id string, n int, batch_id string"), name, "f-1")
+    wide = spark.createDataFrame([("2", 2.75, "f-2")], "id string, n double, batch_id string")
+    tables._into_versions(wide.drop("batch_id"), name)
+    assert rows(read_evolved(spark, name)) == [("1", 2.0, "f-1")]
+    tables.append_evolving(wide, name, "f-2", widen=True)
+    assert rows(read_evolved(spark, name)) == [("1", 2.0, "f-1"), ("2", 2.75, "f-2")]
+    assert len(spark.table(name).columns) == 4
+
+
+@pytest.mark.parametrize(
+    "first, second, wide",
+    [
+        ("int", "bigint", "bigint"), ("double", "int", "double"), ("int", "float", "double"), ("bigint", "double", "string"),
+        ("decimal(10,2)", "bigint", "decimal(21,2)"), ("decimal(38,0)", "decimal(38,9)", "string"), ("date", "timestamp", "timestamp"),
+        ("date", "int", "string"), ("void", "int", "int"), ("array<int>", "array<int>", "array<int>"),
+    ],
+)
+def test_wider_types(first, second, wide):
+    a, b = (StructType.fromDDL(f"x {t}")["x"].dataType for t in (first, second))
+    assert wider_type(a, b).simpleString() == wide == wider_type(b, a).simpleString()
+
+
+@pytest.mark.parametrize("layout", [{}, {"buckets": 4}, {"ranges": 4}, {"partition_by": ["kind"]}])
+def test_a_merged_table_takes_wider_types_in_its_layout(spark, database, layout):
+    by = {} if "partition_by" in layout else {"bucket_by": ["id"]}
+    name, schema = f"{database}.current", "id string, n int, kind string"
+    before = spark.createDataFrame([("1", 2, "a"), ("2", None, "b")], schema)
+    ensure_table(spark, name, before.schema, **layout, **by)
+    with staged(before, "batch") as batch:
+        merge_table(batch, name, ["id"])
+    assert not widen_table(spark, name, before.schema)
+    batch = spark.createDataFrame([("2", 2.5, "a")], "id string, n double, kind string")
+    assert widen_table(spark, name, batch.schema)
+    if not layout:  # dies after the old table is given up
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__widened")
+        assert widen_table(spark, name, batch.schema)
+    merge_table(batch, name, ["id"])
+    assert rows(spark.table(name).select("id", "n", "kind")) == [("1", 2.0, "a"), ("2", 2.5, "a")]
+    assert (key_ranges(spark, name) or (0,))[0] == layout.get("ranges", 0)
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isBucket] == (["id"] if "buckets" in layout else [])
+    assert not spark.catalog.tableExists(f"{name}__widened")
+
+
+def test_changes_are_told_by_key_and_hash_alone(spark, database):
+    name, schema = f"{database}.hashed", "code string, status string, n int, at timestamp"
+    at = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    ensure_table(spark, name, StructType.fromDDL(f"{schema}, row_hash string"))
+    target = lambda: spark.table(name)
+    values = [("a", "x", None, at), ("b", None, 1, at), ("c", "1", 1, None)]
+    hashed = with_row_hash(spark.createDataFrame(values, schema), target().schema, ["code"], "row_hash")
+    assert hashed.select("row_hash").distinct().count() == 3
+    with staged(hashed, "batch") as batch:
+        merge_table(batch, name, ["code"])
+    again = [("a", None, "x", at), ("b", None, "1", at), ("c", "1", "2", None), ("d", None, None, None)]
+    moved = spark.createDataFrame(again, "CODE string, n string, status string, at timestamp").selectExpr("at", "status", "CAST(n AS int) AS N", "CODE")
+    batch = with_row_hash(moved, target().schema, ["code"], "row_hash")
+    changed = changed_keys(target(), batch, ["code"], row_hash="row_hash")
+    assert [r["code"] for r in changed.orderBy("code").collect()] == ["b", "c", "d"]
+    plan = changed._jdf.queryExecution().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert scans and all(line.split("ReadSchema: ")[1].startswith("struct<code:string,row_hash:string>") for line in scans if "hashed" in line)
+
+
 def _table(spark, database, label, schema, values, **layout):
     name = f"{database}.{label}"
     df = spark.createDataFrame(values, schema)
