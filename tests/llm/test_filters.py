@@ -292,6 +292,52 @@ def test_licenses_of_odd_rows(spark):
     assert license_scan.license_of_documents(docs.limit(0)).count() == 0
 
 
+def test_licenses_inside_other_text(spark):
+    mit = next(t for t in license_scan.TEMPLATES["MIT"] if t.startswith("Permission is"))
+    cuts = mit.index("The above"), mit.index("THE SOFTWARE IS")
+    paragraphs = [mit[: cuts[0]], mit[cuts[0] : cuts[1]], mit[cuts[1] :]]
+    prose = [f"Paragraph {i} tells of {i * 7} things that have nothing to do with it." for i in range(120)]
+    wrapped = "\n".join(f" * {mit[i : i + 70]}" for i in range(0, len(mit), 70))
+    texts = [
+        "Copyright 2021 Acme Inc. All rights reserved.",
+        "This project is released under the MIT License.",
+        "// SPDX-License-Identifier: GPL-2.0-or-later\nint main() { return 0; }",
+        "\n\n".join(prose[:60] + paragraphs + prose[60:]),
+        "int a;\n/*\n" + wrapped + "\n */\nint b;\n" + "\n".join(prose),
+        "\n".join(prose),
+        "the rights of all were reserved and all of the rights were granted",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: (r["license"], r["kind"], r["n_hits"]) for r in license_scan.license_of_documents(docs).collect()}
+    assert [got[i][0] for i in range(7)] == ["proprietary", "MIT", "GPL-2.0", "MIT", "MIT", None, None]
+    assert [got[i][1] for i in (0, 1, 3, 4)] == ["window"] * 4 and got[2][1] == "line"
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_best_windows_equal_brute_force(spark, threshold):
+    rng = random.Random(11)
+    words = "alpha beta gamma delta epsilon".split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(120)]
+    templates = {f"t{i}": tuple(" ".join(rng.choice(words) for _ in range(rng.randint(1, 14))) for _ in range(2)) for i in range(5)}
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, "")], "doc_id long, text string")
+    want = {}
+    for i, text in enumerate(texts):
+        w = text.split()
+        grams = list(zip(w, w[1:]))
+        for name, forms in templates.items():
+            for form in forms:
+                t = form.split()
+                wanted = set(zip(t, t[1:]))
+                for at, gram in enumerate(grams):
+                    own = set(grams[at : at + len(t) - 1])
+                    dice = 2 * len(own & wanted) / max(len(own) + len(wanted), 1)
+                    if gram in wanted and dice >= threshold:
+                        want[i, name] = max(want.get((i, name), (0, 0)), (dice, -at - 1))
+    found = license_scan.scan_windows(docs, templates=templates, threshold=threshold).collect()
+    assert {(r["id"], r["license"]): (r["dice"], -r["number"]) for r in found} == want and len(want) > 10
+    assert len(found) == len(want)
+
+
 def test_size_bounds_drop_no_match(spark):
     rng = random.Random(6)
     words = "alpha beta gamma delta".split()
