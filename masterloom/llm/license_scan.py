@@ -292,12 +292,12 @@ def license_of_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Hits are units that match, and of licenses that no unit of the document has the best
     window.  Of hits that are equally alike the first by license, then unit, is the best.
     """
-    in_units = scan(docs, id_col, text_col, **options)
-    other = in_units.select(F.col("id").alias("u_id"), F.col("license").alias("u_license")).distinct()
-    alone = F.col("id").eqNullSafe(F.col("u_id")) & (F.col("license") == F.col("u_license"))
-    hits = in_units.unionByName(scan_windows(docs, id_col, text_col, **options).join(other, alone, "left_anti"))
+    hits = scan(docs, id_col, text_col, **options).unionByName(scan_windows(docs, id_col, text_col, **options))
     order = F.struct((-F.col("dice")).alias("o"), "license", "kind", "number")
-    summed = hits.groupBy(F.col("id").alias("h_id")).agg(F.count(F.lit(1)).alias("n_hits"), F.min(order).alias("best"))
+    unit = F.when(F.col("kind") != "window", order)
+    each = hits.groupBy("id", "license").agg(F.count(unit).alias("n"), F.min(unit).alias("unit"), F.min(order).alias("any"))
+    each = each.select(F.col("id").alias("h_id"), F.greatest("n", F.lit(1)).alias("n"), F.coalesce("unit", "any").alias("best"))
+    summed = each.groupBy("h_id").agg(F.sum("n").alias("n_hits"), F.min("best").alias("best"))
     rows = docs.select(column(id_col).alias("id"))
     rows = rows.join(summed, F.col("id").eqNullSafe(F.col("h_id")), "left")
     return rows.select(
