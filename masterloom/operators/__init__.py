@@ -10,7 +10,7 @@ from masterloom.operators.lookup import (
     one_row_per_key,
 )
 from masterloom.operators.mapping import apply_mapping
-from masterloom.operators.phones import check_foreign, normalize_phones, standardize_phones
+from masterloom.operators.phones import check_foreign, normalize_phones, standardize_phones, with_dial_plan
 from masterloom.operators.schema import (
     add_audit,
     conform,
@@ -21,6 +21,7 @@ from masterloom.operators.schema import (
     string_schema,
     wider_type,
 )
+from masterloom.operators.spread import partitions_of, spread
 from masterloom.operators.upsert import changed_keys, key_profile, reject_blank_keys, upsert, with_row_hash
 
 __all__ = [
@@ -39,13 +40,16 @@ __all__ = [
     "merged_schema",
     "normalize_phones",
     "one_row_per_key",
+    "partitions_of",
     "reject_blank_keys",
     "sanitize_columns",
     "sanitized_names",
     "schema_drift",
+    "spread",
     "standardize_phones",
     "string_schema",
     "upsert",
     "wider_type",
+    "with_dial_plan",
     "with_row_hash",
 ]

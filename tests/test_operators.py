@@ -19,9 +19,11 @@ from masterloom.operators import (
     key_profile,
     lookup_join,
     merged_schema,
+    partitions_of,
     reject_blank_keys,
     sanitized_names,
     schema_drift,
+    spread,
     standardize_phones,
     string_schema,
     upsert,
@@ -214,6 +216,23 @@ def test_upsert_known_new_and_untouched(spark, broadcast_keys):
     assert rows(out) == [("a", "A", "n", 0, 0), ("b", "B2", "m", 1, 0), ("c", "C", None, 1, 1)]
 
 
+def test_upsert_in_as_many_partitions_as_the_rows_need(spark):
+    old = [(f"k{i}", "A", "n", 0, 0) for i in range(50)]
+    batch = [(f"k{i}", f"B{i}") for i in range(25, 75)]
+    out = merge(spark, old, batch, partitions=7)
+    assert rows(out) == rows(merge(spark, old, batch))
+    # Both sides are dealt to seven tasks, whatever the session's number is.
+    assert "REPARTITION_BY_NUM" in (plan := out._jdf.queryExecution().sparkPlan().toString()) and ", 7)" in plan
+
+
+def test_rows_of_one_file_are_spread_by_their_number(spark):
+    one = spark.range(1000).coalesce(1).withColumn("text", F.lit("same"))
+    even = spread(one)
+    assert even.rdd.getNumPartitions() == partitions_of(spark, 1000) == spark.sparkContext.defaultParallelism
+    assert rows(even) == rows(one) and min(r["n"] for r in even.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) > 100
+    assert partitions_of(spark, 54_000_000) == 540
+
+
 def test_upsert_with_empty_sides(spark):
     old = [("a", "A", "n", 0, 0)]
     assert rows(merge(spark, old, [])) == old
