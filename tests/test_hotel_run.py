@@ -168,6 +168,58 @@ def test_first_run(spark, world):
     assert codes[0] == ["code"] and sorted(codes[1:]) == [["SFH1"], ["SFH2"]]
 
 
+def test_wide_rows_of_a_first_load_are_written_down_once_a_layer(spark, world, monkeypatch):
+    from masterloom.plans import hotel as plan
+    from masterloom.sources import tables
+
+    written, real = [], tables.staged
+
+    def noted(df, label):
+        if len(df.columns) > 50:
+            written.append(label)
+        return real(df, label)
+
+    monkeypatch.setattr(tables, "staged", noted)
+    monkeypatch.setattr(plan, "staged", noted)
+    former = spark.conf.get(plan.SMALL_METHODS[0])
+    world(T0, ranges=4, only_if_changed=True)
+    assert written == ["silver-batch", "gold-batch"]
+    assert spark.conf.get(plan.SMALL_METHODS[0]) == former
+    bronze = spark.table(f"{world.database}.bronze_hotel")
+    assert len(bronze.inputFiles()) > 1  # one small drop file, several tasks
+    written.clear()
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [hotel("H2", "Moved", T0 + timedelta(1)), hotel("H3", "New", T0 + timedelta(1))])
+    world(T0 + timedelta(2), ranges=4, only_if_changed=True)
+    assert written == ["silver-batch", "merged-partitions", "gold-batch", "merged-partitions"]
+    assert {r["Code"]: r["Name"] for r in spark.table(f"{world.database}.gold").collect()} == {"SFH1": "Inn", "SFH2": "Moved", "SFH3": "New"}
+
+
+@pytest.mark.parametrize("broadcast", [None, False])
+def test_large_lookups_move_wide_rows_once_at_most(spark, broadcast, monkeypatch):
+    from masterloom.operators import lookup
+    from masterloom.plans import hotel as plan
+    from registry import hotels
+
+    inputs = hotels._inputs(spark, "/root/testdata/sf0.001")
+    want = plan.silver_batch(**inputs, broadcast=True)
+    attached, real = [], lookup.attach
+
+    def noted(df, dim, key, broadcast=None, *args, **options):
+        if len(df.columns) > 50:
+            attached.append(broadcast)
+        return real(df, dim, key, broadcast, *args, **options)
+
+    monkeypatch.setattr(lookup, "attach", noted)
+    monkeypatch.setattr(plan, "attach", noted)
+    # Each lookup counts as too large, the pairs as few.
+    if broadcast is None:
+        counted = plan.fits_broadcast
+        monkeypatch.setattr(plan, "fits_broadcast", lambda *sides, **o: [False] * len(sides) if len(sides) > 1 else counted(*sides, **o))
+    got = plan.silver_batch(**inputs, broadcast=broadcast)
+    assert attached == [broadcast is None]
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 @pytest.mark.parametrize("buckets", [0, 2])
 def test_second_run_updates_inserts_and_keeps(spark, world, buckets):
     world(T0, buckets=buckets)
