@@ -26,7 +26,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of several lines that occur again are taken out; ``n_chars`` follows the text."""
+    """Passages of several lines that occur again, by chunks and the lines beside them, are taken out.
+
+    ``n_chars`` follows the text.
+    """
     left = drop_repeated_passages(docs, "doc_id", "text")
     if "n_chars" in left.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -1,5 +1,6 @@
 """SimHash, line chunks, embeddings and components against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -276,6 +277,48 @@ def test_odd_rows_of_passages(spark):
     assert sorted(r["text"] for r in line_chunks.drop_repeated_passages(null_only).collect()) == sorted([text, "before\n" + text])
 
 
+def brute_keys(texts):
+    """Anchors and pairs by ascending id: (id, place, lines, whether the id has it first)."""
+    seen, anchors, pairs = set(), set(), {}
+    for i, text in enumerate(texts):
+        lines = text.split("\n")
+        lines = [x for k, x in enumerate(lines) if x.strip() or k == 0]
+        hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+        rolled = [(h + 31 * p) % (1 << 32) for h, p in zip(hashes, [0] + hashes)]
+        starts = [k for k, r in enumerate(rolled) if not k or (r < rolled[k - 1] and r <= (rolled + [1 << 32])[k + 1])]
+        for a, b in zip(starts, starts[1:] + [len(lines)]):
+            chunk = tuple(lines[a:b])
+            again = b - a > 1 and chunk in seen
+            seen.add(chunk)
+            if again:
+                anchors.add((i, a, b - a))
+            pairs |= {(i, k): lines[k : k + 2] for k in range(b - 1 if again else a, min(b, len(lines) - 1))}
+    return anchors, pairs
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_are_anchored_in_chunks(spark, seed, monkeypatch):
+    """Repeated chunks are matched as chunks; pairs are only the keys of what is left beside them."""
+    import corpus_pipeline
+
+    rng = random.Random(seed)
+    line = lambda: " ".join(rng.choice("alpha beta gamma delta".split()) + str(rng.randrange(1000)) for _ in range(6))
+    passages = [[line() if rng.random() < 0.8 else "" for _ in range(n)] for n in (2, 3, 8, 14, 40)]
+    texts = ["\n".join(x for _ in range(4) for x in rng.choice([rng.choice(passages), [line(), line()]])) for _ in range(40)]
+    taken, whole = [], line_chunks.passage_keys
+    monkeypatch.setattr(line_chunks, "passage_keys", lambda texts: taken.append(whole(texts)) or taken[-1])
+    out = corpus_pipeline.line_dedup(spark, documents(spark, texts), "").collect()
+    want = brute_passages(texts)
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in out} == {i: (t, len(t)) for i, t in enumerate(want)}
+    keys = taken[0][0].collect()
+    anchors, pairs = brute_keys(texts)
+    assert len(keys) == len(anchors) + len(pairs) and max(n for _, _, n in anchors) > 2
+    assert {(r["id"], r["k"], r["n"]) for r in keys if r["anchor"]} == anchors
+    assert {(r["id"], r["k"], r["hash"]) for r in keys if not r["anchor"]} == {
+        (i, k, xxhash.xxh64_intdigest("\n".join(p), 42) - (xxhash.xxh64_intdigest("\n".join(p), 42) >> 63 << 64)) for (i, k), p in pairs.items()
+    }
+
+
 def test_chunks_join_to_the_text(spark):
     rng = random.Random(5)
     texts = ["\n".join("x" * rng.randrange(4) for _ in range(rng.randrange(1, 40))) for _ in range(50)] + ["", "\n", "a"]
