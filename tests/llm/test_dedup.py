@@ -319,6 +319,20 @@ def test_passages_are_anchored_in_chunks(spark, seed, monkeypatch):
     }
 
 
+def test_frequent_passages_are_dealt_to_many_tasks(spark, monkeypatch):
+    rng = random.Random(9)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(6))
+    common, short = [line() for _ in range(12)], [line(), line()]
+    texts = ["\n".join([line(), *(common if i % 3 else short), line()]) for i in range(600)]
+    dealt, deal = [], line_chunks._dealt
+    monkeypatch.setattr(line_chunks, "_dealt", lambda *args, **copies: dealt.append(deal(*args, **copies)) or dealt[-1])
+    got = {r["doc_id"]: r["text"] for r in line_chunks.drop_repeated_passages(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts)
+    for many in [d for d in dealt if "deal" in d.columns]:
+        most = many.groupBy("hash", "deal").count().agg(F.max("count")).first()[0]
+        assert most <= 30 < many.groupBy("hash").count().agg(F.max("count")).first()[0]
+
+
 def test_chunks_join_to_the_text(spark):
     rng = random.Random(5)
     texts = ["\n".join("x" * rng.randrange(4) for _ in range(rng.randrange(1, 40))) for _ in range(50)] + ["", "\n", "a"]
