@@ -8,10 +8,13 @@ from masterloom.sources.ledger import Load, RunLedger
 from masterloom.sources.slices import batch_slice, utc_text, watermark_slice
 from masterloom.sources.tables import (
     DuplicateKeyError,
+    any_known,
     append_evolving,
     drop_partition,
     ensure_table,
+    many_partitions,
     merge_table,
+    of_keys,
     read_evolved,
     replace_contents,
     replace_partition,
@@ -25,6 +28,7 @@ __all__ = [
     "Load",
     "NewestFile",
     "RunLedger",
+    "any_known",
     "append_evolving",
     "batch_slice",
     "drop_partition",
@@ -35,8 +39,10 @@ __all__ = [
     "keep_newest",
     "latest_batch",
     "list_files",
+    "many_partitions",
     "merge_table",
     "newest_file",
+    "of_keys",
     "read_drop",
     "read_evolved",
     "replace_contents",

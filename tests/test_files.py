@@ -133,6 +133,16 @@ def test_csv_form_is_the_callers_choice(spark, tmp_path):
     assert spark.read.csv(many, header=True).count() == spark.read.csv(one, header=True).count() == 10
 
 
+def test_a_single_csv_is_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "repartition", None)
+    df = spark.range(0, 100, 1, 7).selectExpr("id", "concat('a \"quoted\", line', '\n', id) AS text")
+    path = export_csv(df, str(tmp_path), "one.csv", single=True)
+    with open(path, newline="") as handle:
+        lines = list(csv.reader(handle))
+    assert lines == [["id", "text"], *[[str(i), f'a "quoted", line\n{i}'] for i in range(100)]]
+    assert [p.name for p in tmp_path.iterdir() if p.name[0] != "."] == ["one.csv"]
+
+
 def test_csv_of_no_rows_has_a_header(spark, tmp_path):
     export_csv(spark.createDataFrame([], "a string, b string"), str(tmp_path), "none.csv", single=True)
     assert (tmp_path / "none.csv").read_text() == "a,b\n"

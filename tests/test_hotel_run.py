@@ -457,3 +457,30 @@ def test_only_changed_rows_with_and_without_hashes(spark, world, row_hash):
     assert ("row_hash" in spark.table(f"{world.database}.gold").columns) == row_hash
     if row_hash:
         assert spark.table(f"{world.database}.gold").filter("row_hash IS NULL").isEmpty()
+
+
+def test_a_run_standardises_in_common_methods(spark, world, monkeypatch):
+    from masterloom.plans import hotel as plan
+
+    found, real = [], plan.silver_batch
+
+    def noted(*args, **options):
+        found.append(int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")))
+        return real(*args, **options)
+
+    monkeypatch.setattr(plan, "silver_batch", noted)
+    world(T0, ranges=4)
+    assert found == [65535]
+
+
+def test_a_drop_file_is_one_file_of_many_row_groups(spark, tmp_path):
+    import pyarrow.parquet
+
+    from registry import hotels
+
+    wide = hotels._inputs(spark, "/root/testdata/sf0.001")["hotels"]
+    hotels._drop_file(wide, str(tmp_path / "drop"))
+    (file,) = (tmp_path / "drop").glob("*.parquet")
+    assert pyarrow.parquet.ParquetFile(file).num_row_groups == wide.rdd.getNumPartitions() > 1
+    read = spark.read.parquet(str(tmp_path / "drop"))
+    assert read.dtypes == wide.dtypes and read.exceptAll(wide).isEmpty() and wide.exceptAll(read).isEmpty()

@@ -233,6 +233,15 @@ def test_rows_of_one_file_are_spread_by_their_number(spark):
     assert partitions_of(spark, 54_000_000) == 540
 
 
+def test_even_partitions_stay_where_they_are(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for parts, moved in ((2 * cores, False), (cores - 1, True)):
+        out = spread(spark.range(0, 1000, 1, parts))
+        assert ("Exchange" in out._jdf.queryExecution().executedPlan().toString()) == moved
+    # None is idle while the last ones are worked on.
+    assert all(partitions_of(spark, n) % cores == 0 for n in (1, 100_001 * cores, 54_100_000))
+
+
 def test_upsert_with_empty_sides(spark):
     old = [("a", "A", "n", 0, 0)]
     assert rows(merge(spark, old, [])) == old
