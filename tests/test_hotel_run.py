@@ -484,3 +484,14 @@ def test_a_drop_file_is_one_file_of_many_row_groups(spark, tmp_path):
     assert pyarrow.parquet.ParquetFile(file).num_row_groups == wide.rdd.getNumPartitions() > 1
     read = spark.read.parquet(str(tmp_path / "drop"))
     assert read.dtypes == wide.dtypes and read.exceptAll(wide).isEmpty() and wide.exceptAll(read).isEmpty()
+
+
+def test_files_of_other_hotels_add_to_silver_and_gold(spark, world):
+    world(T0, ranges=4, only_if_changed=True)
+    before = {t: set(spark.table(f"{world.database}.{t}").inputFiles()) for t in ("silver", "gold")}
+    write_hotels(spark, world.hotels, "hotel_2.parquet", [hotel(f"N{i}", "New", T0 + timedelta(1)) for i in range(20)])
+    world(T0 + timedelta(1), ranges=4, only_if_changed=True)
+    for t, files in before.items():
+        assert files < set(spark.table(f"{world.database}.{t}").inputFiles())
+    assert sorted(gold(spark, world)) == sorted(["SFH1", "SFH2", *[f"SFN{i}" for i in range(20)]])
+    assert codes_of(world) == sorted(f"SFN{i}" for i in range(20))
